@@ -9,6 +9,8 @@ pieces are cut so that windows are full.
 
 from __future__ import annotations
 
+import re
+from array import array
 from bisect import bisect_left, insort
 
 import numpy as np
@@ -23,36 +25,66 @@ from .scratch import Scratch
 OPEN = 64
 MERGED = 32  # neighbouring partitions whose leftovers meet in one task
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
-CACHE = 200_000  # words a worker keeps with their ids
+CACHE = 500_000  # words in each of a worker's two generations
+NOT_LATIN = re.compile("[\u0130\u0250-\U0010ffff]")
+ENDED = re.compile("([a-z\u00e0-\u00f6\u00f8-\u00ff])([.,])(?= |$)")
+PLAIN = re.compile("[a-z\u00e0-\u00f6\u00f8-\u00ff]+").fullmatch
+# Byte-level tokenizers show a byte by its Latin-1 character, or, where that does
+# not print, by the next free one from 256 on.
+_HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+BYTE_CHARS = {b: 256 + i for i, b in enumerate(_HIDDEN)}
 END = 1
 
 
-class Encoder:
-    """Ids of a text by a tokenizers file, word by word through a bounded cache.
+class Encoder(dict):
+    """Ids of a text by a tokenizers file, word by word through a bounded cache
+    of two generations: words of the older one that come again move on.
 
-    The file's normalizer and splitter never join across a space, tab, line
-    feed or carriage return, so words can be encoded one at a time.
+    The file lower-cases, and its splitter never joins across a space, tab, line
+    feed or carriage return, nor a letter and a full stop or comma; so such
+    words can be encoded one at a time, in lower case where that is the same
+    before and after the file's normalizer (Latin letters, no special token).
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, np.ndarray] = {"": np.empty(0, np.uint32)}
+        self.tokens = self.tokenizer.model.tokenize
+        self.old: dict[str, bytes] = {}
 
     def __call__(self, text: str | None) -> np.ndarray:
-        words = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        known = self.known
-        if missing := [w for w in set(words) if w not in known]:
-            if len(known) + len(missing) > CACHE:
-                known.clear()
-                known[""] = np.empty(0, np.uint32)
-                missing = [w for w in set(words) if w]
-            for i in range(0, len(missing), 4096):
-                part = missing[i : i + 4096]
-                for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                    known[w] = np.array(e.ids, np.uint32)
-        return np.concatenate([*map(known.__getitem__, words), np.array([END], np.uint32)])
+        text = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ")
+        if not NOT_LATIN.search(text) and "<|" not in text:
+            text = ENDED.sub(r"\1 \2", text.lower())
+        ids = b"".join(map(self.__getitem__, text.split(" ")))
+        return np.append(np.frombuffer(ids, "<u4"), np.uint32(END))
+
+    def __missing__(self, word: str) -> bytes:
+        """A word of plain letters is one run to the splitter: the model gets its
+        bytes' characters at once.  Others go through the whole tokenizer."""
+        if len(self) >= CACHE:
+            self.old = dict(self)
+            self.clear()
+        ids = self.old.get(word)
+        if ids is None:
+            if PLAIN(word):
+                ids = [t.id for t in self.tokens(word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_CHARS))]
+            else:
+                ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+            ids = array("I", ids).tobytes()
+        self[word] = ids
+        return ids
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """One a worker: its cache serves later tasks too."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 class Window:
@@ -131,7 +163,7 @@ def pack(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "t
         return pa.RecordBatch.from_arrays([*arrays, *(pa.array(v, k) for v, k in more.values())], names=[*fields, *more])
 
     def packed(batches):
-        encode, part = Encoder(tokenizer), TaskContext.get().partitionId()
+        encode, part = encoder(tokenizer), TaskContext.get().partitionId()
         docs = ((d, encode(t)) for b in batches for d, t in zip(b.column(0).to_pylist(), b.column(1)) for t in (t.as_py(),))
         rows, held = [], 0
         for row in pack_stream(docs, size, part << 32):
