@@ -107,5 +107,5 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_
     cut = both.select("later", F.explode(blocks("hs", "ws", "ehs")).alias("b")).groupBy(F.col("later").alias("__key")).agg(F.array_sort(F.collect_set("b")).alias("removed"))
     cut = scratch.cut(cut, "cut")
     kept = F.filter(F.split(F.col(text), "\n", -1), lambda x, i: ~F.exists("removed", lambda r: i.between(r["first"], r["last"])))
-    done = keyed.join(cut, "__key", "left").withColumn(text, F.when(F.col("removed").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")))
+    done = keyed.join(cut.hint("merge"), "__key", "left").withColumn(text, F.when(F.col("removed").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")))
     return done.select(*names, "removed")
