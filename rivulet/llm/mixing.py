@@ -17,7 +17,8 @@ from .scratch import Scratch
 
 MAX_REPEATS = 3
 CELLS = 1024  # a length's documents are ranked in so many hash cells
-ITEMS = 400  # distinct items in the knapsack program
+ITEMS = 400  # lengths in the knapsack program, the shortest
+EXACT = 8192  # words about which it decides
 
 
 def words(text: str = "text") -> Column:
@@ -45,7 +46,7 @@ def targets(totals: list[tuple[str | None, int]]) -> dict[str | None, float]:
 
 
 def fit(lengths: list[int], counts: list[int], budget: int) -> list[int]:
-    """How many documents of each length to take, for a sum of at most
+    """How many copies of each length to take, for a sum of at most
     ``budget`` and as near to it as found: a proportional draw, longest lengths
     first, then a bounded knapsack for the rest."""
     total = sum(n * c for n, c in zip(lengths, counts))
@@ -56,12 +57,8 @@ def fit(lengths: list[int], counts: list[int], budget: int) -> list[int]:
     take = [c * budget // total for c in counts]
     left = budget - sum(t * n for t, n in zip(take, lengths))
     order = sorted((i for i in range(len(lengths)) if lengths[i]), key=lambda i: -lengths[i])
-    for i in order:  # at most one more of each: the fractions cut above
-        if lengths[i] <= left // 2 and take[i] < counts[i]:
-            take[i] += 1
-            left -= lengths[i]
-    for i in order:  # long before short, leaving a remainder that short ones can fill
-        more = min(counts[i] - take[i], max(0, left - 2 * lengths[i]) // lengths[i])
+    for i in order:  # longest first, down to what the program can fit exactly
+        more = min(counts[i] - take[i], max(0, left - EXACT) // lengths[i])
         take[i] += more
         left -= more * lengths[i]
     # bounded knapsack over sums up to what is left; a count is split into powers of two
@@ -105,7 +102,9 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     def fitted(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("size")
         rest = int(pdf.target.iloc[0]) - int(pdf.whole.iloc[0]) * int(pdf.source_size.iloc[0])
-        pdf["k"] = fit([int(x) for x in pdf["size"]], [int(x) for x in pdf.n], rest)
+        spare = MAX_REPEATS - int(pdf.whole.iloc[0])  # a length's documents may all be taken so often again
+        extra = pd.Series(fit([int(x) for x in pdf["size"]], [int(x) * spare for x in pdf.n], rest), index=pdf.index, dtype="int64")
+        pdf["whole"], pdf["k"] = pdf.whole + extra // pdf.n, extra % pdf.n
         return pdf[["source", "size", "source_size", "target", "whole", "k"]]
 
     same = [F.col("a.source").eqNullSafe(F.col("b.source"))]
