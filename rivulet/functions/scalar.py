@@ -187,7 +187,7 @@ def add_business_days(s, n: int) -> Column:
     iso = F.weekday(t)  # 0 is Monday
     shift = F.when(iso >= 5, (iso - 4) * -1 if sign > 0 else 7 - iso).otherwise(0)
     base = iso + shift
-    over = F.when(base + rest > 4, 2).otherwise(0) if sign > 0 else F.when(base - rest < 0, 2).otherwise(0)
+    over = F.when(base + rest > 4, 2).otherwise(0) if sign > 0 else F.when(F.pmod(base, F.lit(7)) - rest < 0, 2).otherwise(0)
     landing = shift + sign * (7 * weeks + rest + over)
     return rfc3339(t + F.make_dt_interval(landing.cast("int")))
 
