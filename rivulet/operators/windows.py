@@ -167,17 +167,20 @@ def dedup_ttl(df: DataFrame, message_id: str, ts: str, ttl_ms: int, order: list[
     ``ttl_ms`` before; a duplicate does not extend that time."""
     names, schema = df.columns, df.schema
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
-        us = pd.to_datetime(pdf[ts]).astype("datetime64[us]").astype("int64").tolist()
-        keep, until = [], None
-        for t in us:
-            fresh = until is None or t >= until
-            keep.append(fresh)
-            until = t + ttl_ms * 1000 if fresh else until
-        return pdf[keep][names]
-
-    return df.where(F.col(message_id).isNotNull()).groupBy(message_id).applyInPandas(one, schema).unionByName(df.where(F.col(message_id).isNull()))
+    def first_sightings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, until = None, None
+        for pdf in batches:  # a partition's rows, ordered by id and arrival
+            keep = []
+            for i, t in zip(pdf[message_id].tolist(), pd.to_datetime(pdf[ts]).astype("datetime64[us]").astype("int64").tolist()):
+                if i != current:
+                    current, until = i, None
+                fresh = until is None or t >= until
+                until = t + ttl_ms * 1000 if fresh else until
+                keep.append(fresh)
+            yield pdf[keep][names]
+
+    known = df.where(F.col(message_id).isNotNull()).repartition(message_id).sortWithinPartitions(message_id, *order)
+    return known.mapInPandas(first_sightings, schema).unionByName(df.where(F.col(message_id).isNull()))
 
 
 def token_bucket(times_us: list[int], rps: float, burst: int) -> list[bool]:
