@@ -158,9 +158,13 @@ def near_duplicates(docs: DataFrame, key: str, text: str = "text", size: int = 5
 
     @F.pandas_udf("array<long>")
     def keys(prints: pd.Series) -> pd.Series:
-        m = np.unpackbits(np.frombuffer(b"".join(prints), np.uint8).reshape(len(prints), -1), axis=1)[:, : block_bits * blocks]
-        v = m.reshape(len(prints), blocks, block_bits) @ (1 << np.arange(block_bits, dtype=np.int64))
-        return pd.Series(list(v + (np.arange(blocks, dtype=np.int64) << block_bits)))
+        out, weight = [], 1 << np.arange(block_bits, dtype=np.int32)
+        for i in range(0, len(prints), 256):  # unpacked bits are 64 times their fingerprint
+            part = prints.iloc[i : i + 256]
+            m = np.unpackbits(np.frombuffer(b"".join(part), np.uint8).reshape(len(part), -1), axis=1)[:, : block_bits * blocks]
+            v = m.reshape(len(part), blocks, block_bits) @ weight
+            out += list(v + (np.arange(blocks, dtype=np.int64) << block_bits))
+        return pd.Series(out, dtype=object)
 
     @F.pandas_udf("long")
     def apart(x: pd.Series, y: pd.Series) -> pd.Series:
