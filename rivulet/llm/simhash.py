@@ -18,6 +18,7 @@ Exact copies share a fingerprint and are one class before any join.
 from __future__ import annotations
 
 import math
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -131,6 +132,19 @@ def wide_fingerprint(text: str | None, size: int, lanes: int) -> bytes | None:
     return np.packbits(2 * ones.ravel() > len(h)).tobytes()
 
 
+@contextmanager
+def small_batches(spark, rows: int = 1000):
+    """Arrow batches of fewer rows for the tables written inside, so that a
+    worker holds fewer whole texts and keys at once; the setting is put back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def bits_apart(similarity: float, bits: int) -> int:
     """Expected Hamming distance of two equal-sized sets of that Jaccard similarity."""
     return math.floor(bits * math.acos(2 * similarity / (1 + similarity)) / math.pi)
@@ -173,12 +187,14 @@ def near_duplicates(docs: DataFrame, key: str, text: str = "text", size: int = 5
         both = [np.frombuffer(b"".join(s), np.uint64).reshape(len(s), lanes) for s in (x, y)]
         return pd.Series(np.bitwise_count(both[0] ^ both[1]).sum(axis=1).astype("int64"))
 
-    rows = scratch.cut(docs.select(F.col(key).alias("key"), wide(F.col(text)).alias("fp")).where("fp is not null"), "prints")
+    with small_batches(docs.sparkSession):
+        rows = scratch.cut(docs.select(F.col(key).alias("key"), wide(F.col(text)).alias("fp")).where("fp is not null"), "prints")
     # one node for all rows of equal fingerprints; ids are fixed once written
     nodes = scratch.cut(rows.groupBy("fp").agg(F.min("key").alias("first")).select(F.monotonically_increasing_id().alias("node"), "fp"), "nodes")
     keyed = nodes.select("node", F.explode(keys("fp")).alias("block"))
-    pivots = scratch.cut(keyed.groupBy("block").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1").drop("n"), "pivots")
-    met = scratch.cut(keyed.join(pivots, "block").where("node <> pivot"), "met")
+    with small_batches(docs.sparkSession):
+        pivots = scratch.cut(keyed.groupBy("block").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1").drop("n"), "pivots")
+        met = scratch.cut(keyed.join(pivots, "block").where("node <> pivot"), "met")
 
     def links(pairs: DataFrame) -> DataFrame:
         half = scratch.cut(pairs.distinct().join(nodes.select(F.col("node").alias("a"), F.col("fp").alias("x")), "a"), "half")
