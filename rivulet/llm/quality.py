@@ -26,6 +26,7 @@ PRIOR = ((0.4, 0.4, 0.2), (0.0001, 0.4999, 0.5))
 PRIOR_SHARE = 0.1
 LABELLERS = ("symbols", "shouting", "tables", "sentences", "word_length", "repetition")
 CACHE = 200_000
+SPAN = 400  # words in which repetition is counted, one stretch after the other
 
 
 def _vote(good: bool, bad: bool) -> int:
@@ -46,7 +47,7 @@ def votes(text: str | None, words: list[str] | None = None) -> list[int]:
     ends = sum(text.count(c) for c in ".!?;:") + sum(text.count(c) for c in "。！？")
     per_sentence = n / max(1, ends)
     mean = letters / n
-    unique = len({*words}) / n if n < 400 else len({*words[:400]}) / 400
+    unique = sum(len({*words[i : i + SPAN]}) for i in range(0, n, SPAN)) / n
     return [
         _vote(False, symbols > 0.05),
         _vote(False, upper > 0.3),
@@ -70,7 +71,7 @@ class Features:
                 known.clear()
                 missing = {*words}
             for w in missing:
-                shape = re.sub(r"(.)\1+", r"\1", re.sub(r"[^\W\d_]", "a", re.sub(r"[A-ZÀ-Þ]", "A", re.sub(r"\d", "9", w))))[:12]
+                shape = re.sub(r"(.)\1+", r"\1", re.sub(r"[^\W\d_]", "a", re.sub(r"[A-ZÀ-Þ]", "A", re.sub(r"\d", "9", w))))
                 known[w] = (zlib.crc32(w.lower().encode("utf-8", "surrogatepass")) % DIM, zlib.crc32(("\0" + shape).encode("utf-8", "surrogatepass")) % DIM)
         return np.array([known[w] for w in words], np.int64).ravel()
 
