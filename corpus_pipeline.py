@@ -14,10 +14,20 @@ from rivulet.llm import language, lines, mixing, packing, simhash
 from rivulet.llm.scratch import Scratch
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+
+
+def small_batches(spark):
+    """Whole texts go to Python ``BATCH_ROWS`` at a time, or fewer if the session
+    says so: frames are run after their stage has returned, so this stays set."""
+    now = int(spark.conf.get(BATCH))
+    if not 0 < now <= BATCH_ROWS:
+        spark.conf.set(BATCH, str(BATCH_ROWS))
 
 
 def language_id(spark, docs, sf_dir):
     """Documents whose language is rejected go; ``lang`` becomes the predicted one."""
+    small_batches(spark)
     learned = language.learn(docs.where(language.fold() != 0))
     found = language.identify(docs, learned).where("not rejected")
     return found.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
@@ -25,6 +35,7 @@ def language_id(spark, docs, sf_dir):
 
 def line_dedup(spark, docs, sf_dir):
     """Aligned blocks go from later documents; a document nothing is left of goes too."""
+    small_batches(spark)
     found = lines.line_dedup(docs)
     left = F.col("removed").isNull() | F.col("text").rlike(r"\S")
     return found.where(left).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
@@ -32,6 +43,7 @@ def line_dedup(spark, docs, sf_dir):
 
 def simhash_dedup(spark, docs, sf_dir):
     """Of each group of near duplicates the smallest (id, text) stays."""
+    small_batches(spark)
     scratch = Scratch(spark, "stage3")
     key = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), F.xxhash64("text").alias("h"))
     keyed = docs.withColumn("key", key)
@@ -51,6 +63,7 @@ def mix_sources(spark, docs, sf_dir):
 
 def pack_sequences(spark, docs, sf_dir):
     """Pieces of sequences of 2048 ids."""
+    small_batches(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
