@@ -94,5 +94,16 @@ def queries() -> dict:
     return {f.__name__: f for f in (op1_language, op2_mixing, op3_quality, op4_sharding, op5_packing, op6_media, op7_simhash, op8_chat, op9_embeddings, op10_lines)}
 
 
+def op4_sql() -> str:
+    """The filled table as a literal; slots and the join are the SQL's own."""
+    table = ",".join(map(str, sharding.fill(sharding.shard_names(), sharding.SLOTS)))
+    return f"""
+WITH filled AS (SELECT string_split('{table}', ',') AS shards), slots AS (
+  SELECT doc_id, n_chars, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT % {sharding.SLOTS} AS slot FROM documents
+), names AS (SELECT unnest(range({sharding.SLOTS})) AS slot, unnest(shards) AS shard FROM filled)
+SELECT doc_id, n_chars, slot, 'shard-' || lpad(shard, 5, '0') AS shard FROM slots JOIN names USING (slot)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_chat": OP8_SQL}
+    return {"op4_sharding": op4_sql(), "op8_chat": OP8_SQL}
