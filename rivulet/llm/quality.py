@@ -69,9 +69,11 @@ class Features:
         if missing := [w for w in {*words} if w not in known]:
             if len(known) + len(missing) > CACHE:
                 known.clear()
-                missing = {*words}
-            for w in missing:
-                shape = re.sub(r"(.)\1+", r"\1", re.sub(r"[^\W\d_]", "a", re.sub(r"[A-ZÀ-Þ]", "A", re.sub(r"\d", "9", w))))
+                missing = [*{*words}]
+            # one pass over all new words; they hold no line feed
+            shapes = re.sub(r"\d+", "9", "\n".join(missing))
+            shapes = re.sub(r"(.)\1+", r"\1", re.sub(r"(?:[^\W\d_]|×)+", "a", shapes)).split("\n")
+            for w, shape in zip(missing, shapes):
                 known[w] = (zlib.crc32(w.lower().encode("utf-8", "surrogatepass")) % DIM, zlib.crc32(("\0" + shape).encode("utf-8", "surrogatepass")) % DIM)
         return np.array([known[w] for w in words], np.int64).ravel()
 
