@@ -1,10 +1,12 @@
 """Line dedup by pairwise alignment.
 
-Documents that share lines are paired, their line hashes aligned by patience
-diff, and aligned common blocks deleted from the later document.  A line that at
-most ``RARE`` documents hold pairs all of them; any other pairs each holder with
-the first one alone, so that pairs grow with lines, not with their squares, and
-no repeated line goes without a partner that keeps it.
+Documents that share a run of lines long enough to be deleted are paired, their
+line hashes aligned by patience diff, and aligned common blocks deleted from the
+later document.  Runs are the shortest ones from each line on and up to each
+line, so any block of enough words is made of them.  A run pairs each holder
+with its first holder, so that pairs grow with runs, not with their squares;
+where that alignment leaves the run (lines that cross or recur), the holder is
+aligned with all earlier holders.  What goes is what aligning all pairs deletes.
 """
 
 from __future__ import annotations
@@ -12,14 +14,15 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import Scratch
 
-RARE = 8
 MIN_WORDS = 20
+BASE = 0x9E3779B97F4A7C15  # of the run hash; odd, so it has an inverse modulo 2^64
 
 
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -73,9 +76,58 @@ def common_blocks(later: list[int], words: list[int], earlier: list[int], min_wo
     return out
 
 
-def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, rare: int = RARE) -> DataFrame:
+def powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def runs_of(hashes: list[np.ndarray], words: list[np.ndarray], min_words: int) -> list[np.ndarray]:
+    """(first, last, hash) rows, for each document, of the shortest runs of at
+    least ``min_words`` words from each line on and up to each line.  If there
+    are any, (-1, -1, hash) stands for the whole document."""
+    size = np.array([len(h) for h in hashes])
+    n = int(size.sum())
+    end = np.repeat(size.cumsum(), size)
+    begin = end - np.repeat(size, size)
+    h = np.concatenate([np.empty(0, np.int64), *hashes]).astype(np.int64).view(np.uint64) + np.uint64(1)
+    told = np.r_[0, np.concatenate([np.empty(0, np.int64), *words]).astype(np.int64).cumsum()]
+    ahead = np.r_[np.uint64(0), (h * powers(BASE, n)).cumsum(dtype=np.uint64)]
+    back = powers(pow(BASE, -1, 2**64), n)
+    at = np.arange(n)
+    last = np.searchsorted(told, told[:-1] + min_words, "left") - 1
+    first = np.searchsorted(told, told[1:] - min_words, "right") - 1
+    f, b = last < end, first >= begin
+    both = np.stack(np.divmod(np.unique(np.r_[at[f] * (n + 1) + last[f], first[b] * (n + 1) + at[b]]), n + 1))
+    prints = (ahead[both[1] + 1] - ahead[both[0]]) * back[both[0]]
+    stops = np.searchsorted(both[0], np.r_[0, size.cumsum()], "left")
+    out = []
+    for k, stop in enumerate(size.cumsum()):
+        i, j, o = stops[k], stops[k + 1], stop - size[k]
+        rows = np.stack([both[0, i:j] - o, both[1, i:j] - o, prints[i:j].view(np.int64)], axis=1)
+        if len(rows):
+            whole = (ahead[stop] - ahead[o]) * back[o] ^ np.uint64(BASE)
+            rows = np.concatenate([rows, [[-1, -1, whole.view(np.int64)]]])
+        out.append(rows)
+    return out
+
+
+def merged(blocks):
+    """Sorted ranges (first, last) as the fewest that hold the same lines."""
+    one = "array<struct<first int, last int>>"
+
+    def add(acc, r):
+        end = F.get(acc, F.size(acc) - 1)
+        joined = F.struct(end["first"].alias("first"), F.greatest(end["last"], r["last"]).alias("last"))
+        return F.when(end["last"] + 1 >= r["first"], F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(joined))).otherwise(F.concat(acc, F.array(r))).cast(one)
+
+    return F.aggregate(F.array_sort(blocks), F.array().cast(one), add)
+
+
+def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with ``text`` less the deleted lines, and ``removed``, the
-    array of (first, last) line numbers deleted from it, null if none.
+    array of (first, last) line numbers deleted from it, apart from one another,
+    null if none.
 
     Lines end at line feeds and are compared without outer white space.  Earlier
     means the smaller (id, text hash); rows with a null id or text, or without a
@@ -90,21 +142,34 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_
     hashes = F.transform(parts, lambda x: F.when(x == "", F.lit(0).cast("long")).otherwise(F.xxhash64(x)))
     each = keyed.where("__key is not null").select(F.col("__key").alias("key"), hashes.alias("hs"), words.alias("ws"))
     arrays = scratch.cut(each.groupBy("key").agg(F.first("hs").alias("hs"), F.first("ws").alias("ws")), "arrays")
-    held = arrays.select("key", F.explode(F.array_distinct(F.arrays_zip("hs", "ws"))).alias("l")).select("key", F.col("l.hs").alias("h"), F.col("l.ws").alias("w")).where("h <> 0")
-    shared = scratch.cut(held.groupBy("h").agg(F.count("*").alias("n"), F.min("key").alias("first")).where("n > 1"), "shared")
-    met = scratch.cut(held.join(shared, "h"), "met")
-    few = met.where(F.col("n") <= rare)
-    near = few.select("h", "w", F.col("key").alias("later")).join(few.select("h", F.col("key").alias("earlier")), "h").where("earlier < later")
-    far = met.where((F.col("n") > rare) & (F.col("first") < F.col("key"))).select("h", "w", F.col("key").alias("later"), F.col("first").alias("earlier"))
-    pairs = near.unionByName(far).groupBy("later", "earlier").agg(F.sum("w").alias("w")).where(F.col("w") >= min_words).drop("w")
+
+    @F.pandas_udf("array<struct<lo int, hi int, h long>>")
+    def runs(hashes: pd.Series, words: pd.Series) -> pd.Series:
+        return pd.Series([[*map(tuple, r.tolist())] for r in runs_of(hashes.tolist(), words.tolist(), min_words)], dtype=object)
+
+    held = scratch.cut(arrays.select("key", F.inline(runs("hs", "ws"))), "held")
+    shared = scratch.cut(held.groupBy("h").agg(F.min("key").alias("earlier"), F.max("key").alias("end")).where("earlier < end").drop("end"), "shared")
+    met = scratch.cut(held.join(shared, "h").where("earlier < key").withColumnRenamed("key", "later"), "met")
 
     @F.pandas_udf("array<struct<first int, last int>>")
     def blocks(later: pd.Series, words: pd.Series, earlier: pd.Series) -> pd.Series:
         return pd.Series([common_blocks(a.tolist(), w.tolist(), b.tolist(), min_words) for a, w, b in zip(later, words, earlier)], dtype=object)
 
-    one = scratch.cut(scratch.cut(pairs, "pairs").join(arrays.withColumnRenamed("key", "later"), "later"), "one")
-    both = one.join(arrays.select(F.col("key").alias("earlier"), F.col("hs").alias("ehs")), "earlier")
-    cut = both.select("later", F.explode(blocks("hs", "ws", "ehs")).alias("b")).groupBy(F.col("later").alias("__key")).agg(F.array_sort(F.collect_set("b")).alias("removed"))
+    def aligned(pairs: DataFrame) -> DataFrame:
+        one = scratch.cut(scratch.cut(pairs, "pairs").join(arrays.withColumnRenamed("key", "later"), "later"), "one")
+        both = one.join(arrays.select(F.col("key").alias("earlier"), F.col("hs").alias("ehs")), "earlier")
+        return scratch.cut(both.select("later", F.explode(blocks("hs", "ws", "ehs")).alias("b")).distinct(), "blocks")
+
+    firsts = met.select("later", "earlier").distinct()
+    found = aligned(firsts)
+    gone = found.groupBy("later").agg(F.collect_list("b").alias("gone"))
+    whole = F.forall(F.sequence("lo", "hi"), lambda x: F.exists("gone", lambda r: x.between(r["first"], r["last"])))
+    left = scratch.cut(met.where("lo >= 0").join(gone, "later", "left").where(F.col("gone").isNull() | ~whole).select("later", "h", F.col("earlier").alias("tried")).distinct(), "left")
+    # a copy of a whole document aligns as its first one does
+    copies = met.where("lo < 0").select(F.col("later").alias("earlier"))
+    others = held.select("h", F.col("key").alias("earlier")).join(copies, "earlier", "left_anti").distinct()
+    rest = left.join(others, "h").where("earlier < later and earlier <> tried").select("later", "earlier").distinct()
+    cut = found.unionByName(aligned(rest)).groupBy(F.col("later").alias("__key")).agg(merged(F.collect_set("b")).alias("removed"))
     cut = scratch.cut(cut, "cut")
     kept = F.filter(F.split(F.col(text), "\n", -1), lambda x, i: ~F.exists("removed", lambda r: i.between(r["first"], r["last"])))
     done = keyed.join(cut.hint("merge"), "__key", "left").withColumn(text, F.when(F.col("removed").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")))

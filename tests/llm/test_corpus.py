@@ -322,6 +322,49 @@ def test_lines(spark, docs, none, rows):
     assert len([r for r in same]) > 0 and lines.line_dedup(docs).count() == len(rows) and lines.line_dedup(none).count() == 0
 
 
+def deleted_by_all_pairs(texts, min_words=20):
+    """{id: line numbers} of the blocks that aligning every pair of documents finds."""
+    split = {i: [x.strip(" \t\r\x0b\x0c") for x in t.split("\n")] for i, t in texts.items()}
+    number = {x: k for k, x in enumerate(sorted({x for v in split.values() for x in v} | {""}))}
+    held = {i: [number[x] for x in v] for i, v in split.items()}
+    out = collections.defaultdict(set)
+    for b in held:
+        words = [x.count(" ") + 1 if x else 0 for x in split[b]]
+        for a in held:
+            if a < b and sum(w for x, w in zip(held[b], words) if x in held[a]) >= min_words:
+                for first, last in lines.common_blocks(held[b], words, held[a], min_words):
+                    out[b].update(range(first, last + 1))
+    return out
+
+
+def lines_removed(df):
+    got = lines.line_dedup(df).where("removed is not null").collect()
+    for r in got:
+        assert all(x["last"] + 1 < y["first"] for x, y in zip(r.removed, r.removed[1:]))
+    return {r.doc_id: {x for b in r.removed for x in range(b["first"], b["last"] + 1)} for r in got}
+
+
+def test_lines_against_all_pairs(spark, sf):
+    """Blocks of frequent lines whose first holders differ, crossing and recurring blocks, blank lines."""
+    rng = random.Random(12)
+    line = lambda n: " ".join(f"{rng.choice(WORDS)}{rng.randrange(10**6)}" for _ in range(n))
+    common = [line(n) for n in (3, 5, 7, 9, 11, 21, 1, 2)]
+    texts = {i: f"{c}\n{line(3)}" for i, c in enumerate(common)}  # each line's first holder
+    texts |= {20 + i: "\n".join(rng.choices(common[2:5], k=2) + [line(4)]) for i in range(10)}
+    block = "\n".join([common[1], common[3], "", common[4], ""])  # 25 words of lines over 8 documents hold
+    texts |= {40 + i: f"{line(2)}\n{block}\n{line(3)}" for i in range(12)}
+    for i in range(100, 220):
+        parts = [rng.choice([rng.choice(common), "", line(2), "\n".join(common[1:4]), "\n".join(common[3:6])]) for _ in range(rng.randrange(1, 9))]
+        texts[i] = "\n".join(parts)
+    texts |= {300 + i: texts[i] for i in (40, 101, 102, 103)}
+    want = deleted_by_all_pairs(texts)
+    assert all(want[41 + i] >= {1, 2, 3, 4} for i in range(11))
+    assert lines_removed(spark.createDataFrame([*texts.items()], "doc_id long, text string").repartition(3)) == want
+    table = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").where("doc_id is not null and text is not null")
+    unique = table.groupBy("doc_id").agg(F.min("text").alias("text"))
+    assert lines_removed(unique) == deleted_by_all_pairs({r.doc_id: r.text for r in unique.collect()})
+
+
 def test_pipeline(spark, sf, tmp_path):
     d, kept = spark.read.parquet(f"{sf}/documents.parquet"), []
     for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
