@@ -261,6 +261,26 @@ def test_near_duplicates(spark, none):
     assert simhash.near_duplicates(none.select(F.col("doc_id").alias("key"), "text"), "key").count() == 0
 
 
+def test_near_duplicates_are_by_jaccard(spark):
+    """Groups against exact components, of pairs from 0.75 to 0.87 and of short texts."""
+    rng = random.Random(21)
+    word = lambda: f"{rng.choice(WORDS)}{rng.randrange(10**6)}"
+    sets, rows = {}, []
+    for g in range(240):
+        n = rng.choice([8, 9, 14, 24, 60, 150, 400]) if g % 4 == 0 else 254
+        words = [word() for _ in range(n)]
+        cut = max(1, round((n - 4) * rng.uniform(0.13, 0.25)))
+        rows += [(2 * g, " ".join(words)), (2 * g + 1, " ".join(words[cut // 2 :] + [word() for _ in range((cut - cut // 2) * (g % 2))]))]
+    for k, t in rows:
+        w = t.split()
+        sets[k] = {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    alike = {k: len(sets[k] & sets[k + 1]) / len(sets[k] | sets[k + 1]) for k in range(0, 480, 2)}
+    want = {k for k, j in alike.items() if j >= 0.8}
+    assert sum(0.8 <= j < 0.85 for j in alike.values()) > 25 and sum(0.75 <= j < 0.8 for j in alike.values()) > 25
+    got = {r.group for r in simhash.near_duplicates(spark.createDataFrame(rows, "key long, text string"), "key").collect()}
+    assert got <= want and len(got) >= 0.97 * len(want)
+
+
 def test_chat_against_sql(spark, sf):
     rows = queries.op8_chat(spark, sf)
     duck = duckdb.connect()
