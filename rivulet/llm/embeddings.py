@@ -3,8 +3,9 @@
 Vectors are dealt to shards by hash; each shard builds one layered graph; every
 vector queries every shard.  A query's beam doubles as long as it ends full of
 neighbours over the threshold, and a task's starting beam doubles until a
-recall audit against brute force passes.  Cosines are verified in double
-precision.  A task returns counts and spanning edges of the links it found, not
+recall audit against brute force passes, each probe counting alike; a block
+whose beams would cost more than brute force is compared by it.  Cosines are
+verified in double precision.  A task returns counts and spanning edges of the links it found, not
 the links, so a dense group costs its size.
 """
 
@@ -163,6 +164,13 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def brute(x: np.ndarray, q: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(query, id) arrays of all at ``least`` cosine."""
+    step = max(1, (1 << 24) // len(x))
+    hits = [np.nonzero(q[i : i + step] @ x.T >= least) for i in range(0, len(q), step)]
+    return np.concatenate([r + i * step for i, (r, _) in enumerate(hits)]), np.concatenate([c for _, c in hits])
+
+
 def query_block(g: Graph, gx: np.ndarray, gid: np.ndarray, gn: np.ndarray, q: np.ndarray, qid: np.ndarray, least: float):
     """(links of each query, edges (a, b) that span what was found)."""
     single = unit(q).astype(np.float32)
@@ -173,13 +181,19 @@ def query_block(g: Graph, gx: np.ndarray, gid: np.ndarray, gn: np.ndarray, q: np
     noise = unit(noise - (noise * planted).sum(axis=1, keepdims=True) * planted) if g.x.shape[1] > 1 else 0 * noise
     probe = np.concatenate([single[:: max(1, len(single) // AUDIT)][:AUDIT], unit((least + 0.005) * planted + math.sqrt(max(0.0, 1 - (least + 0.005) ** 2)) * noise)])
     near = probe @ g.x.T >= least
-    wanted = near.sum()
-    while width < len(g.x):
+    mine = qid[:: max(1, len(single) // AUDIT)][:AUDIT]
+    near[: len(mine)] &= mine[:, None] != gid  # a vector itself is no link
+    wanted = near.sum(axis=1)
+    asked = wanted > 0
+    while width * 2 * DEGREE < len(g.x):
         r, c = g.at_least(probe, least, width)
-        if near[r, c].sum() >= RECALL * wanted:
+        found = np.bincount(r, weights=near[r, c], minlength=len(probe))
+        if not asked.any() or (found[asked] / wanted[asked]).mean() >= RECALL:
+            a, b = g.at_least(single, least - SLACK, width)
             break
         width *= 2
-    a, b = g.at_least(single, least - SLACK, width)
+    else:
+        a, b = brute(g.x, single, least - SLACK)
     norm_q, norm_x = np.sqrt((q * q).sum(axis=1)), np.sqrt((gx * gx).sum(axis=1))
     keep = np.zeros(len(a), bool)
     for i in range(0, len(a), 1 << 16):

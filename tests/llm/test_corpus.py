@@ -324,6 +324,21 @@ def test_embeddings(spark):
     assert embeddings.embedding_components(df.limit(0)).count() == 0
 
 
+def test_audit_counts_each_probe():
+    """Small groups that the graph does not reach are found beside a hot group."""
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((1800, 24))
+    x[:1200] = x[0] + 0.05 * rng.standard_normal((1200, 24))
+    x[1201::2] = x[1200::2] + 0.1 * rng.standard_normal((300, 24))
+    u = embeddings.unit(x)
+    hot = embeddings.build(u[:1200].astype(np.float32))
+    layers = [np.concatenate([m, np.full((600, m.shape[1]), -1)]) for m in hot.layers]
+    graph, ids = embeddings.Graph(u.astype(np.float32), layers, hot.entry), np.arange(1800)
+    links, edges = embeddings.query_block(graph, x, ids, np.ones(1800, np.int64), x, ids, 0.9)
+    assert links.tolist() == ((u @ u.T >= 0.9).sum(axis=1) - 1).tolist()
+    assert {(a, b) for a, b in edges.tolist() if a >= 1200} >= {(i + 1, i) for i in range(1200, 1800, 2)}
+
+
 def test_lines(spark, docs, none, rows):
     rng = random.Random(6)
     line = lambda n=12: " ".join(f"{rng.choice(WORDS)}{rng.randrange(10**6)}" for _ in range(n))
