@@ -8,6 +8,7 @@ long text cannot replace the dictionary by its own history.
 
 from __future__ import annotations
 
+import math
 import re
 import uuid
 
@@ -32,13 +33,16 @@ def learn(docs: DataFrame, label: str = "lang", text: str = "text", samples: int
 
     About ``samples`` distinct texts a language (chosen by the hash of the
     text), ``sample_chars`` characters from a place set by that hash, at most
-    ``dict_bytes`` in all; the ``max_langs`` most frequent labels are learned.
+    ``dict_bytes`` in all.  Every label is learned; of more than ``max_langs``
+    each has a smaller share, so that all together stay as large as of that many.
     Rows without label, text or letters teach nothing.
     """
     hashed = docs.select(F.col(label).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("h")).where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = hashed.groupBy("lang").agg(F.count("*").alias("rows"), F.approx_count_distinct("h").alias("texts")).orderBy(F.desc("rows"), "lang").limit(max_langs).collect()
+    counts = hashed.groupBy("lang").agg(F.count("*").alias("rows"), F.approx_count_distinct("h").alias("texts")).collect()
     if not counts:
         return {}
+    share = min(1.0, max_langs / len(counts))
+    samples, dict_bytes = max(min(samples, 32), math.ceil(samples * share)), max(1, int(dict_bytes * share))  # of 32, none is drawn once in 10^13
     rate = F.element_at(F.create_map(*[x for r in counts for x in (F.lit(r.lang), F.lit(min(1.0, samples / max(1, r.texts))))]), F.col("lang"))
     start = 1 + F.pmod(F.shiftright("h", 7), F.greatest(F.length("text") - sample_chars, F.lit(1))).cast("int")
     chosen = hashed.where(F.pmod("h", F.lit(1_000_003)) < rate * 1_000_003).select("lang", "h", F.substring(F.col("text"), start, F.lit(sample_chars)).alias("piece"))

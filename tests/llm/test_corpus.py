@@ -82,6 +82,12 @@ def test_language(spark, docs, none, sf):
     assert docs.select("doc_id", language.fold().alias("f")).where("doc_id = 7").first().f == zlib.crc32(b"7") % 5
 
 
+def test_language_learns_every_label(spark):
+    rows = [(f"l{i:02}", f"alpha{k} beta gamma {chr(97 + i % 26) * 4}") for i in range(70) for k in range(1 + i % 2)]
+    learned = language.learn(spark.createDataFrame(rows, "lang string, text string"))
+    assert set(learned) == {x for x, _ in rows} and all(learned.values())
+
+
 def test_mixing(spark, docs, none, rows):
     got = mixing.mix(docs).collect()
     assert len(got) == len(rows)
