@@ -83,7 +83,9 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text"
     language, 0 to 1) and ``rejected`` (margin below ``min_margin``, or ``und``).
 
     Null, empty and letterless texts are ``und`` with score 0; ties go to the
-    first language by name; nothing learned: all ``und``.
+    first language by name; nothing learned: all ``und``.  Equal texts are
+    treated alike, repeated rows each; columns of those names are replaced; no
+    rows give no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(dictionaries)  # at most max_langs * dict_bytes
     name = uuid.uuid4().hex
@@ -96,8 +98,10 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text"
             made = _built[name] = Classifier(shared.value)
         return pd.DataFrame([made(t) for t in texts], columns=["lang_pred", "score"])
 
-    found = docs.withColumn("__found", classify(F.col(text)))
-    return found.select(*docs.columns, "__found.lang_pred", "__found.score", rejected("__found.lang_pred", "__found.score", min_margin).alias("rejected"))
+    # so marked, a filter on the result is not pushed below, where it would classify every text once more
+    found = docs.select("*", classify.asNondeterministic()(F.col(text)).alias("__found"))
+    kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score", "rejected")]
+    return found.select(*kept, "__found.lang_pred", "__found.score", rejected("__found.lang_pred", "__found.score", min_margin).alias("rejected"))
 
 
 def rejected(lang: str, score: str, min_margin: float) -> Column:
