@@ -6,9 +6,9 @@ tree of depth d takes log2(d) joins and in all as many rows as its paths have
 turns.  Branches are ranked by score; each chosen path is one conversation.
 
 A turn is ``### role: text</turn>`` and a line feed.  Roles are URL-encoded;
-texts double backslashes and break the two control strings with one, so that
-neither occurs inside a text and unescaping is removing one backslash from each
-pair.
+texts double backslashes and get one inside ``</turn>`` and between any two
+adjacent ``#``, so that neither control string occurs inside a text; unescaping
+removes one backslash from each pair.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ HEAD, END = "### ", "</turn>\n"
 
 def escape(text: Column) -> Column:
     text = F.replace(F.coalesce(text, F.lit("")), F.lit("\\"), F.lit("\\\\"))
-    return F.replace(F.replace(text, F.lit("</turn>"), F.lit("<\\/turn>")), F.lit("###"), F.lit("#\\##"))
+    return F.regexp_replace(F.replace(text, F.lit("</turn>"), F.lit("<\\/turn>")), "#(?=#)", r"#\\")
 
 
 def unescape(text: Column) -> Column:

@@ -69,7 +69,7 @@ WITH rows AS (
   UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
   UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
 ), shown AS (
-  SELECT *, '### ' || url_encode(role) || ': ' || replace(replace(replace(text, '\', '\\'), '</turn>', '<\/turn>'), '###', '#\##') || '</turn>' || chr(10) AS shown FROM rows
+  SELECT *, '### ' || url_encode(role) || ': ' || replace(replace(replace(replace(text, '\', '\\'), '</turn>', '<\/turn>'), '##', '#\#'), '##', '#\#') || '</turn>' || chr(10) AS shown FROM rows
 )
 SELECT conv_id, count(*)::BIGINT AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
