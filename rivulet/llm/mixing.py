@@ -8,6 +8,7 @@ the bits of one integer.  Documents of a length are then chosen by seeded hash.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +18,8 @@ from .scratch import Scratch
 
 MAX_REPEATS = 3
 CELLS = 1024  # a length's documents are ranked in so many hash cells
-ITEMS = 400  # lengths in the knapsack program, the shortest
-EXACT = 8192  # words about which it decides
+EXACT = 8192  # words, at least, about which the knapsack program decides
+SOURCES = 1_000_000  # sources whose totals and targets the driver holds
 
 
 def words(text: str = "text") -> Column:
@@ -46,9 +47,10 @@ def targets(totals: list[tuple[str | None, int]]) -> dict[str | None, float]:
 
 
 def fit(lengths: list[int], counts: list[int], budget: int) -> list[int]:
-    """How many copies of each length to take, for a sum of at most
-    ``budget`` and as near to it as found: a proportional draw, longest lengths
-    first, then a bounded knapsack for the rest."""
+    """How many copies of each length to take, for a sum of at most ``budget``
+    and as near to it as found: a proportional draw, longest lengths first down
+    to ``EXACT`` words or four times the longest length, then a bounded knapsack
+    over all lengths for the rest, which is exact for what it is given."""
     total = sum(n * c for n, c in zip(lengths, counts))
     if not total or budget <= 0:
         return [0] * len(lengths)
@@ -57,45 +59,54 @@ def fit(lengths: list[int], counts: list[int], budget: int) -> list[int]:
     take = [c * budget // total for c in counts]
     left = budget - sum(t * n for t, n in zip(take, lengths))
     order = sorted((i for i in range(len(lengths)) if lengths[i]), key=lambda i: -lengths[i])
-    for i in order:  # longest first, down to what the program can fit exactly
-        more = min(counts[i] - take[i], max(0, left - EXACT) // lengths[i])
+    room = max(EXACT, 4 * lengths[order[0]])
+    for i in order:  # longest first, down to what the program decides
+        more = min(counts[i] - take[i], max(0, left - room) // lengths[i])
         take[i] += more
         left -= more * lengths[i]
     # bounded knapsack over sums up to what is left; a count is split into powers of two
     items = []
-    for i in sorted(order, key=lambda i: lengths[i]):
-        if lengths[i] > left or len(items) >= ITEMS:
-            break
+    for i in reversed(order):
         spare, k = min(counts[i] - take[i], left // lengths[i]), 1
         while spare > 0:
             items.append((i, min(k, spare)))
             spare, k = spare - k, 2 * k
-    mask, reach = (1 << left + 1) - 1, [1]
-    for i, k in items:
-        reach.append(reach[-1] | reach[-1] << k * lengths[i] & mask)
-    at = reach[-1].bit_length() - 1
-    for (i, k), before in zip(reversed(items), reversed(reach[:-1])):
-        if not before >> at & 1:
-            take[i] += k
-            at -= k * lengths[i]
+    mask, sums, first = (1 << left + 1) - 1, 1, np.full(left + 1, -1, np.int32)
+    for at, (i, k) in enumerate(items):
+        new = (sums << k * lengths[i] & mask) & ~sums
+        if new:  # the item that first reaches a sum; each sum is written once
+            low = (new & -new).bit_length() - 1
+            raw = np.frombuffer((new >> low).to_bytes((new.bit_length() - low + 7) // 8, "little"), np.uint8)
+            first[low + np.flatnonzero(np.unpackbits(raw, bitorder="little"))] = at
+            sums |= new
+        if sums >> left & 1:
+            break
+    at = sums.bit_length() - 1
+    while at:
+        i, k = items[first[at]]
+        take[i] += k
+        at -= k * lengths[i]
     return take
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: int = 7) -> DataFrame:
-    """One row per input row: ``doc_id, size, source, source_size, target, taken``.
+    """One row per input row: ``doc_id, text_hash, size, source, source_size, target, taken``.
 
     ``taken`` is the words the mix takes of it, repeats counted: a multiple of
     its size from 0 to 3.  Each source's sum is at most its target, and short of
     it by less than its shortest remaining documents allow.  Empty and null
     texts have size 0 and are not taken; the null source is one of the sources,
-    the last; repeated rows count each.  No rows give no rows.
+    the last; repeated rows count each, and which of them is taken is the same to
+    the result.  No rows give no rows.  More than ``SOURCES`` sources are refused.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "mix")
-    sized = scratch.cut(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), words(text).alias("size")).withColumn("h", F.xxhash64(F.lit(seed), "doc_id")).withColumn("cell", F.pmod(F.shiftright("h", 40), F.lit(CELLS)).cast("int")), "sized")
+    sized = scratch.cut(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.xxhash64(F.col(text)).alias("text_hash"), words(text).alias("size")).withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "text_hash")).withColumn("cell", F.pmod(F.shiftright("h", 40), F.lit(CELLS)).cast("int")), "sized")
     by_cell = scratch.cut(sized.groupBy("source", "size", "cell").agg(F.count("*").alias("n")), "cells")
     lengths = by_cell.groupBy("source", "size").agg(F.sum("n").alias("n"))
-    totals = [(r.source, r.total) for r in by_cell.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("total")).collect()]
+    totals = [(r.source, r.total) for r in by_cell.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("total")).limit(SOURCES + 1).collect()]
+    if len(totals) > SOURCES:
+        raise ValueError(f"more than {SOURCES} sources")
     aims = targets(totals)
     plan = spark.createDataFrame([(s, n, aims[s], min(MAX_REPEATS, int(aims[s] // n) if n else 0)) for s, n in totals], "source string, source_size long, target double, whole int")
 
@@ -117,6 +128,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
         by_cell.alias("a").join(drawn.alias("b"), on("source", "size")).select("a.*", "b.source_size", "b.target", "b.whole", "b.k")
         .withColumn("k", F.greatest(F.lit(0), F.least("n", F.col("k") - before))), "quota")
     ranked = sized.alias("a").join(quota.alias("b"), on("source", "size", "cell")).select("a.*", "b.source_size", "b.target", "b.whole", "b.n", "b.k")
-    rank = F.row_number().over(Window.partitionBy("source", "size", "cell").orderBy("h", "doc_id"))
+    rank = F.row_number().over(Window.partitionBy("source", "size", "cell").orderBy("h", "doc_id", "text_hash"))
     taken = F.col("size") * (F.col("whole") + (rank <= F.col("k")).cast("int"))
-    return ranked.select("doc_id", "size", "source", "source_size", "target", taken.cast("long").alias("taken"))
+    scratch.drop(by_cell, drawn)
+    scratch.collect()
+    return ranked.select("doc_id", "text_hash", "size", "source", "source_size", "target", taken.cast("long").alias("taken"))
