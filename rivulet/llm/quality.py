@@ -19,11 +19,11 @@ from pyspark.sql import functions as F
 from .scratch import Scratch
 
 DIM = 1 << 16
-FEATURES = 512  # distinct hashed features kept of one sampled training row
 # Chances of -, 0, + for a bad and a good document before any vote is seen; they
-# weigh as much as PRIOR_SHARE of the rows.  They say which side is good.
+# weigh as much as PRIOR_SHARE of the rows, and at most PRIOR_ROWS rows, so that
+# with the corpus the estimates become its own.  They say which side is good.
 PRIOR = ((0.4, 0.4, 0.2), (0.0001, 0.4999, 0.5))
-PRIOR_SHARE = 0.1
+PRIOR_SHARE, PRIOR_ROWS = 0.1, 1000
 LABELLERS = ("symbols", "shouting", "tables", "sentences", "word_length", "repetition")
 CACHE = 200_000
 SPAN = 400  # words in which repetition is counted, one stretch after the other
@@ -100,7 +100,7 @@ def fit_labellers(patterns: np.ndarray, counts: np.ndarray, rounds: int = 60) ->
         post = 1 / (1 + np.exp(np.clip(log[:, 0] - log[:, 1], -500, 500)))
         share = float(np.clip((post @ counts + 1) / (n + 2), 0.01, 0.99))
         seen = np.stack([np.einsum("p,plv->lv", w * counts, each) for w in (1 - post, post)])
-        chance = seen + (PRIOR_SHARE * n + 1) * np.array([1 - share, share])[:, None, None] * prior
+        chance = seen + (min(PRIOR_SHARE * n, PRIOR_ROWS) + 1) * np.array([1 - share, share])[:, None, None] * prior
         chance /= chance.sum(axis=-1, keepdims=True)
     return share, chance, post
 
@@ -129,9 +129,10 @@ def quality(docs: DataFrame, text: str = "text", sample: int = 12_000) -> DataFr
     and ``quality`` (the trained scorer, 0 to 1).
 
     The scorer is trained on about ``sample`` rows, chosen by the hash of the
-    text, and in each on at most ``FEATURES`` distinct features; votes, pattern counts and scores
-    cover all rows and whole texts.  Null, empty and very short texts have no
+    text; votes, pattern counts and scores cover all rows and whole texts.  Null, empty and very short texts have no
     votes (``000000``) and the prior as posterior; equal texts score equally.
+    Repeated rows count each in the estimates and as one in training.  Columns of
+    those names are replaced; no rows give no rows.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "quality")
@@ -145,9 +146,6 @@ def quality(docs: DataFrame, text: str = "text", sample: int = 12_000) -> DataFr
         for t, c in zip(texts, chosen):
             words = (t or "").split()
             ids, x = _features[0](words) if c else (None, None)
-            if c and len(ids) > FEATURES:
-                top = np.sort(np.argsort(-x, kind="stable")[:FEATURES])
-                ids, x = ids[top], x[top]
             out.append(("".join("-0+"[v + 1] for v in votes(t, words)), ids, x))
         return pd.DataFrame(out, columns=["votes", "ids", "x"])
 
@@ -178,4 +176,6 @@ def quality(docs: DataFrame, text: str = "text", sample: int = 12_000) -> DataFr
             out.append((v, known[v], float(1 / (1 + np.exp(-(weights[ids] @ x + b))))))
         return pd.DataFrame(out, columns=["votes", "posterior", "quality"])
 
-    return docs.withColumn("__q", score(F.col(text))).select(*docs.columns, "__q.votes", "__q.posterior", "__q.quality")
+    scratch.drop(looked)
+    kept = [c for c in docs.columns if c.lower() not in ("votes", "posterior", "quality")]
+    return docs.select("*", score(F.col(text)).alias("__q")).select(*kept, "__q.votes", "__q.posterior", "__q.quality")
