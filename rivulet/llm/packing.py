@@ -25,7 +25,7 @@ from .scratch import Scratch
 OPEN = 64
 MERGED = 32  # neighbouring partitions whose leftovers meet in one task
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
-CACHE = 500_000  # words in each of a worker's two generations
+CACHE = 250_000  # words in each of a worker's two generations
 NOT_LATIN = re.compile("[\u0130\u0250-\U0010ffff]")
 ENDED = re.compile("([a-z\u00e0-\u00f6\u00f8-\u00ff])([.,])(?= |$)")
 PLAIN = re.compile("[a-z\u00e0-\u00f6\u00f8-\u00ff]+").fullmatch
