@@ -14,8 +14,12 @@ from pyspark.sql import functions as F
 from .scratch import Scratch
 
 
+HELD = 1 << 19  # nodes of a partition's forest in memory
+
+
 def local_stars(batches):
-    """Replace the edges of one partition by one star per local component."""
+    """Replace the edges of one partition by stars of its local components, of
+    at most about ``HELD`` nodes at a time; further edges start a new forest."""
     parent: dict[int, int] = {}
 
     def find(x):
@@ -26,15 +30,21 @@ def local_stars(batches):
             parent[x], x = root, parent[x]
         return root
 
+    def stars():
+        rows = [(x, r) for x in list(parent) if (r := find(x)) != x]
+        for i in range(0, len(rows), 50_000):
+            u, v = zip(*rows[i : i + 50_000])
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
     for b in batches:
         for u, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             u, v = find(u), find(v)
             if u != v:
                 parent[max(u, v)] = min(u, v)
-    rows = [(x, r) for x in list(parent) if (r := find(x)) != x]
-    for i in range(0, len(rows), 50_000):
-        u, v = zip(*rows[i : i + 50_000])
-        yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+        if len(parent) > HELD:
+            yield from stars()
+            parent.clear()
+    yield from stars()
 
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:

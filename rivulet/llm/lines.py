@@ -150,6 +150,8 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_
     held = scratch.cut(arrays.select("key", F.inline(runs("hs", "ws"))), "held")
     shared = scratch.cut(held.groupBy("h").agg(F.min("key").alias("earlier"), F.max("key").alias("end")).where("earlier < end").drop("end"), "shared")
     met = scratch.cut(held.join(shared, "h").where("earlier < key").withColumnRenamed("key", "later"), "met")
+    scratch.drop(shared)
+    scratch.collect()
 
     @F.pandas_udf("array<struct<first int, last int>>")
     def blocks(later: pd.Series, words: pd.Series, earlier: pd.Series) -> pd.Series:
@@ -158,7 +160,9 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_
     def aligned(pairs: DataFrame) -> DataFrame:
         one = scratch.cut(scratch.cut(pairs, "pairs").join(arrays.withColumnRenamed("key", "later"), "later"), "one")
         both = one.join(arrays.select(F.col("key").alias("earlier"), F.col("hs").alias("ehs")), "earlier")
-        return scratch.cut(both.select("later", F.explode(blocks("hs", "ws", "ehs")).alias("b")).distinct(), "blocks")
+        done = scratch.cut(both.select("later", F.explode(blocks("hs", "ws", "ehs")).alias("b")).distinct(), "blocks")
+        scratch.drop(one)
+        return done
 
     firsts = met.select("later", "earlier").distinct()
     found = aligned(firsts)
@@ -171,6 +175,7 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_
     rest = left.join(others, "h").where("earlier < later and earlier <> tried").select("later", "earlier").distinct()
     cut = found.unionByName(aligned(rest)).groupBy(F.col("later").alias("__key")).agg(merged(F.collect_set("b")).alias("removed"))
     cut = scratch.cut(cut, "cut")
+    scratch.keep(cut)
     kept = F.filter(F.split(F.col(text), "\n", -1), lambda x, i: ~F.exists("removed", lambda r: i.between(r["first"], r["last"])))
     done = keyed.join(cut.hint("merge"), "__key", "left").withColumn(text, F.when(F.col("removed").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")))
     return done.select(*names, "removed")

@@ -26,6 +26,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .components import components
 from .scratch import Scratch
@@ -113,24 +114,25 @@ def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 # --- similarity 0.8 over five-word shingles -----------------------------------
 
 MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)  # the constants of the public splitmix64 generator
+LANES = 32  # 64-bit words of a wide fingerprint
+SENT = 100_000  # rows of keys that may be broadcast; beyond, both sides are shuffled
 
 
-def wide_fingerprint(text: str | None, size: int, lanes: int) -> bytes | None:
-    """``64 * lanes`` bits over the set of shingles; null where no word is."""
+def wide_fingerprint(text: str | None, size: int, lanes: int = LANES) -> tuple[list[int], int] | None:
+    """(``lanes`` signed words of bits, how many) of the set of shingles; none where no word is."""
     found = [h for h in shingle_hashes(text, size)]
     if not found:
         return None
     h = np.unique(np.concatenate(found))
-    ones = np.zeros((lanes, 64), np.int64)
-    for i in range(0, len(h), 1 << 13):
-        part = h[i : i + (1 << 13)]
-        for k in range(lanes):
-            z = part + np.uint64(MIX[0] * (k + 1) % 2**64)
-            z = (z ^ (z >> np.uint64(30))) * np.uint64(MIX[1])
-            z = (z ^ (z >> np.uint64(27))) * np.uint64(MIX[2])
-            z ^= z >> np.uint64(31)
-            ones[k] += np.unpackbits(z.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return np.packbits(2 * ones.ravel() > len(h)).tobytes()
+    salts = np.array([MIX[0] * (k + 1) % 2**64 for k in range(lanes)], np.uint64)
+    ones = np.zeros(64 * lanes, np.int64)
+    for i in range(0, len(h), 255):  # as many as a byte can count
+        z = h[i : i + 255, None] + salts
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(MIX[1])
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(MIX[2])
+        z ^= z >> np.uint64(31)
+        ones += np.add.reduce(np.unpackbits(z.view(np.uint8), axis=1), axis=0, dtype=np.uint8)
+    return np.packbits(2 * ones > len(h)).view(np.int64).tolist(), len(h)
 
 
 @contextmanager
@@ -146,62 +148,73 @@ def small_batches(spark, rows: int = 1000):
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
-def bits_apart(similarity: float, bits: int) -> int:
-    """Hamming distance that pairs of that Jaccard similarity or more stay within:
-    five standard deviations over the expected one of two large sets of equal
-    size, and a quarter more of it for ties in sets of a few shingles (0.1875 of
-    the bits for four in five, 0.151 for large sets)."""
-    p = 1.25 * math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return math.floor(bits * p + 5 * math.sqrt(bits * p * (1 - p)))
+def differing(similarity: float, shingles: int = 1 << 30) -> float:
+    """Share of the bits in which two sets of that Jaccard similarity differ: the
+    angle of large sets of equal size, and up to a quarter more (0.1875 for four
+    shingles in five) for the ties in small ones."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi * (1 + 1 / max(4, shingles))
 
 
-def near_duplicates(docs: DataFrame, key: str, text: str = "text", size: int = 5, similarity: float = 0.8, block_bits: int = 20, blocks: int = 96) -> DataFrame:
+def bits_apart(similarity: float, bits: int, shingles: int, deviations: float) -> int:
+    """Hamming distance that pairs of that similarity stay within, but for those
+    over so many standard deviations."""
+    p = differing(similarity, shingles)
+    return math.floor(bits * p + deviations * math.sqrt(bits * p * (1 - p)))
+
+
+def blocks_of(similarity: float, block_bits: int, missed: float, shingles: int) -> int:
+    """How many blocks find all but ``missed`` of the pairs at that similarity."""
+    return math.ceil(-math.log(missed) / (1 - differing(similarity, shingles)) ** block_bits)
+
+
+def near_duplicates(docs: DataFrame, key: str, text: str = "text", size: int = 5, similarity: float = 0.8, missed: float = 0.015) -> DataFrame:
     """(key, group) for the rows in groups of two or more near duplicates.
 
     ``key``: a non-null column, one row's name.  A pair links if the Jaccard
     similarity of its sets of distinct shingles is at least ``similarity``, which
-    is computed for pairs whose wide fingerprints are within ``bits_apart``; those
-    are compared if they agree on a block.  Together that finds 98 % of pairs just
-    at 0.8, 99.8 % at 0.85, over 99.99 % from 0.9 (of four shingles in five: 78 %).
-    Pairs already connected by others are not computed.  In a block all rows meet its smallest row first;
-    only rows not connected to it are paired with the rest, so a group of copies
-    costs its size, not its square, and no link between groups is lost.  Equal
-    fingerprints are one row here.  ``block_bits`` should grow with the
-    logarithm of the rows.  Rows without a word never link.
+    is computed for pairs that agree on a block and whose wide fingerprints are
+    within ``bits_apart`` (2.5 deviations: 0.6 % of the pairs just at
+    ``similarity`` are not).  A block is some bits of the fingerprint, two more than
+    the logarithm of the rows, so that it holds less than half a row by chance
+    at every size; there are as many blocks as leave ``missed`` of the pairs just
+    at ``similarity`` without one.  Sets of few shingles, whose bits tie, have more.
+
+    In a block all rows meet its smallest row, the pivot; only rows that are not
+    connected to it are paired with the block's others, so a group of copies
+    costs its size, not its square, and no link between groups is lost.  Pairs
+    already connected by others are not computed.  One block holds a row at most
+    once, so the largest has the share 1 / blocks of the keyed rows; it is sorted
+    and streamed with spill.  Equal fingerprints are one row here.  Rows without a
+    word never link; no rows give no rows.
     """
-    lanes = math.ceil(block_bits * blocks / 64)
-    bits, far = 64 * lanes, bits_apart(similarity, 64 * lanes)
+    bits = 64 * LANES
     scratch = Scratch(docs.sparkSession, "near")
 
-    @F.pandas_udf("binary")
-    def wide(texts: pd.Series) -> pd.Series:
-        return pd.Series([wide_fingerprint(t, size, lanes) for t in texts], dtype=object)
-
-    @F.pandas_udf("array<long>")
-    def keys(prints: pd.Series) -> pd.Series:
-        out, weight = [], 1 << np.arange(block_bits, dtype=np.int32)
-        for i in range(0, len(prints), 256):  # unpacked bits are 64 times their fingerprint
-            part = prints.iloc[i : i + 256]
-            m = np.unpackbits(np.frombuffer(b"".join(part), np.uint8).reshape(len(part), -1), axis=1)[:, : block_bits * blocks]
-            v = m.reshape(len(part), blocks, block_bits) @ weight
-            out += list(v + (np.arange(blocks, dtype=np.int64) << block_bits))
-        return pd.Series(out, dtype=object)
-
-    @F.pandas_udf("long")
-    def apart(x: pd.Series, y: pd.Series) -> pd.Series:
-        if not len(x):
-            return pd.Series([], dtype="int64")
-        both = [np.frombuffer(b"".join(s), np.uint64).reshape(len(s), lanes) for s in (x, y)]
-        return pd.Series(np.bitwise_count(both[0] ^ both[1]).sum(axis=1).astype("int64"))
+    @F.pandas_udf("fp array<long>, n int, far int")
+    def wide(texts: pd.Series) -> pd.DataFrame:
+        found = [wide_fingerprint(t, size) or (None, 0) for t in texts]
+        return pd.DataFrame([(fp, n, bits_apart(similarity, bits, n, 2.5)) for fp, n in found], columns=["fp", "n", "far"])
 
     with small_batches(docs.sparkSession):
-        rows = scratch.cut(docs.select(F.col(key).alias("key"), wide(F.col(text)).alias("fp")).where("fp is not null"), "prints")
+        some = docs.where(F.col(text).rlike(r"[^ \t-\r]")).select(F.col(key).alias("key"), wide(F.col(text)).alias("p"))
+        rows = scratch.cut(some.select("key", "p.*"), "prints")
     # one node for all rows of equal fingerprints; ids are fixed once written
-    nodes = scratch.cut(rows.groupBy("fp").agg(F.min("key").alias("first")).select(F.monotonically_increasing_id().alias("node"), "fp", "first"), "nodes")
-    keyed = nodes.select("node", F.explode(keys("fp")).alias("block"))
-    with small_batches(docs.sparkSession):
-        pivots = scratch.cut(keyed.groupBy("block").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1").drop("n"), "pivots")
-        met = scratch.cut(keyed.join(pivots, "block").where("node <> pivot"), "met")
+    nodes = scratch.cut(rows.groupBy("fp").agg(F.min("key").alias("first"), F.max("n").alias("n"), F.max("far").alias("far")).select(F.monotonically_increasing_id().alias("node"), "*"), "nodes")
+    block_bits = min(48, max(10, 2 + math.ceil(math.log2(max(2, nodes.count())))))
+    most = blocks_of(similarity, block_bits, missed, 4)
+    place = np.random.default_rng(17).permuted(np.tile(np.arange(bits), (most, 1)), axis=1)[:, :block_bits]
+
+    @F.pandas_udf("array<long>")
+    def keys(prints: pd.Series, shingles: pd.Series) -> pd.Series:
+        out, name = [], np.arange(most, dtype=np.int64)
+        for i in range(0, len(prints), 128):  # unpacked bits are 64 times their fingerprint
+            part = np.array(prints.iloc[i : i + 128].tolist(), np.int64)
+            m = np.unpackbits(part.view(np.uint8), axis=1)
+            v = np.broadcast_to(name, (len(part), most)).copy()
+            for j in range(block_bits):
+                v = v << 1 | m[:, place[:, j]]
+            out += [v[k, : blocks_of(similarity, block_bits, missed, n)] for k, n in enumerate(shingles.iloc[i : i + 128])]
+        return pd.Series(out, dtype=object)
 
     @F.pandas_udf("binary")
     def shingles(texts: pd.Series) -> pd.Series:
@@ -216,44 +229,71 @@ def near_duplicates(docs: DataFrame, key: str, text: str = "text", size: int = 5
             out.append(both / (len(a) + len(b) - both) >= similarity)
         return pd.Series(out, dtype=bool)
 
-    def close(pairs: DataFrame) -> DataFrame:
-        """(a, b, d) of the pairs within ``far`` bits."""
-        half = scratch.cut(pairs.distinct().join(nodes.select(F.col("node").alias("a"), F.col("fp").alias("x")), "a"), "half")
-        near = half.join(nodes.select(F.col("node").alias("b"), F.col("fp").alias("y")), "b")
-        done = scratch.cut(near.select("a", "b", apart("x", "y").alias("d")).where(F.col("d") <= far), "close")
-        scratch.drop(half)
-        return done
+    # the first 64 bits settle nearly all chance meetings, all bits the others, inside the sort or join
+    within = bits_apart(similarity, 64, 4, 3.5)
+    apart = " + ".join(f"bit_count(x[{k}] ^ y[{k}])" for k in range(LANES))
+    alike_prints = f"bit_count(x[0] ^ y[0]) <= {within} and least(nx, ny) >= {similarity} * greatest(nx, ny) and {apart} <= greatest(fx, fy)"
+    w = Window.partitionBy("block")
+    keyed = nodes.select("node", F.get("fp", F.lit(0)).alias("c"), F.explode(keys("fp", "n")).alias("block"))
+    seen = keyed.select("*", F.min(F.struct("node", "c")).over(w).alias("p"), F.count("*").over(w).alias("n")).where("n > 1 and node <> p.node")
+    with small_batches(docs.sparkSession):
+        met = scratch.cut(seen.select("block", "node", F.col("p.node").alias("pivot"), F.expr(f"bit_count(c ^ p.c) <= {within}").alias("near"), "n").where("near or n > 2"), "met")
+    scratch.collect()
 
-    def links(pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose shingle sets are alike."""
-        pairs = scratch.cut(pairs.select("a", "b"), "pairs")
+    def prints(end: str, side: str) -> DataFrame:
+        return nodes.select(F.col("node").alias(end), F.col("fp").alias(side), F.col("n").alias("n" + side), F.col("far").alias("f" + side))
+
+    def sets_of(pairs: DataFrame, known: DataFrame | None = None) -> DataFrame:
+        """(node, its sorted shingle hashes) of the ends of ``pairs``, without those of ``known``."""
         ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        if known is not None:
+            ends = ends.join(known, "node", "left_anti")
         named = scratch.cut(ends.join(nodes.select("node", F.col("first").alias("key")), "node"), "named")
+        sent = F.broadcast(named) if named.count() <= SENT else named
         with small_batches(docs.sparkSession, 100):
-            texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(named, "key")
-            sets = scratch.cut(texts.dropDuplicates(["node"]).select("node", shingles("text").alias("s")), "sets")
-            both = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("s").alias("y")), "b")
-            done = scratch.cut(both.where(alike("x", "y")).select("a", "b"), "links")
-        scratch.drop(sets)
+            texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(sent, "key")
+            done = scratch.cut(texts.dropDuplicates(["node"]).select("node", shingles("text").alias("s")), "sets")
+        scratch.drop(named)
         return done
 
-    def labelled(pairs: DataFrame, known: DataFrame) -> DataFrame:
-        """``pairs`` with the components ca and cb of their ends."""
-        for end in ("a", "b"):
+    def links(pairs: DataFrame, *sets: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose shingle sets are alike."""
+        found = sets[0] if len(sets) == 1 else sets[0].unionByName(sets[1])
+        with small_batches(docs.sparkSession, 100):
+            both = pairs.select("a", "b").join(found.select(F.col("node").alias("a"), F.col("s").alias("x")), "a").join(found.select(F.col("node").alias("b"), F.col("s").alias("y")), "b")
+            return scratch.cut(both.where(alike("x", "y")).select("a", "b"), "links")
+
+    def labelled(pairs: DataFrame, known: DataFrame, *ends: str) -> DataFrame:
+        """``pairs`` with the components, named c and the end, of their ends."""
+        for end in ends:
             pairs = pairs.join(known.select(F.col("node").alias(end), F.col("component").alias("c" + end)), end, "left").withColumn("c" + end, F.coalesce("c" + end, end))
         return pairs
 
-    starred = close(met.select(F.col("node").alias("b"), F.col("pivot").alias("a")))
+    pairs = met.where("near").select(F.col("node").alias("b"), F.col("pivot").alias("a")).distinct()
+    starred = scratch.cut(pairs.join(prints("a", "x"), "a").join(prints("b", "y"), "b").where(alike_prints).select("a", "b", F.expr(apart).alias("d")), "starred")
+    sets = sets_of(starred)
     # the nearest one first: it mostly connects the row, and its other pairs need no sets
-    sure = links(starred.groupBy("b").agg(F.min(F.struct("d", "a")).alias("m")).select("b", "m.a"))
+    sure = links(starred.groupBy("b").agg(F.min(F.struct("d", "a")).alias("m")).select("b", "m.a"), sets)
     known = scratch.cut(components(sure, scratch), "known")
-    sure = sure.unionByName(links(labelled(starred, known).where("ca <> cb")))
+    sure = sure.unionByName(links(labelled(starred, known, "a", "b").where("ca <> cb"), sets))
     known = scratch.cut(components(sure, scratch), "known")
-    linked = labelled(starred, known).where("ca = cb").select(F.col("b").alias("node"), F.col("a").alias("pivot"))
-    outer = scratch.cut(met.join(linked, ["node", "pivot"], "left_anti").select("block", F.col("node").alias("a")), "outer")
-    rest = outer.join(met.select("block", F.col("node").alias("b")), "block").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    found = components(sure.unionByName(links(labelled(close(rest), known).where("ca <> cb"))), scratch)
-    label = scratch.cut(nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("group")), "label")
-    told = scratch.cut(rows.join(label, "fp").select("key", "group"), "told")
-    many = told.groupBy("group").agg(F.count("*").alias("n"), F.min("key").alias("first")).where("n > 1")
-    return told.join(scratch.cut(many, "many"), "group").select("key", F.col("first").alias("group"))
+    told = labelled(met.where("n > 2"), known, "node", "pivot").select("block", F.col("node"), F.col("cnode").alias("c"), (F.col("cnode") != F.col("cpivot")).alias("out"))
+    blocks = told.groupBy("block").agg(F.max("out").alias("any"), F.count("*").alias("m")).where("any and m > 1").select("block")
+    told = scratch.cut(told.join(blocks, "block"), "told")
+    scratch.drop(met)
+    full = scratch.cut(told.join(prints("node", "x"), "node"), "full")
+    scratch.drop(told)
+    x = full.where("out").withColumnsRenamed({"node": "a", "c": "ca"}).drop("out")
+    y = full.withColumnsRenamed({"node": "b", "c": "cb", "x": "y", "nx": "ny", "fx": "fy"})
+    rest = x.join(y, "block").where(f"ca <> cb and (not out or a < b) and {alike_prints}").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    rest = scratch.cut(rest, "rest")
+    scratch.drop(full)
+    more = sets_of(rest, sets)
+    found = scratch.cut(components(sure.unionByName(links(rest, sets, more)), scratch), "found")
+    label = nodes.join(found, "node").select("fp", F.col("component").alias("group"))
+    alone = nodes.join(found, "node", "left_anti").select("fp", F.col("node").alias("group"))
+    named = scratch.cut(rows.select("key", "fp").join(label.unionByName(alone), "fp").select("key", "group"), "groups")
+    many = named.groupBy("group").agg(F.count("*").alias("n"), F.min("key").alias("first")).where("n > 1")
+    out = scratch.cut(named.join(many, "group").select("key", F.col("first").alias("group")), "out")
+    scratch.keep(out)
+    return out
