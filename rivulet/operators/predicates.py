@@ -8,6 +8,7 @@ through is skipped in both modes; an empty list passes in both modes.
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 from functools import reduce
@@ -96,9 +97,54 @@ def evaluate(df: DataFrame, predicates: list[Predicate], mode: str = "and", pass
     return F.coalesce(*[F.when(o.passed | (o.error != ""), o) for o in outcomes], none)
 
 
+INTEGRAL = ("tinyint", "smallint", "int", "bigint")
+REAL = ("float", "double")
+
+
+def plain(p: Predicate, dtype: str) -> Column | None:
+    """The predicate as a comparison of the typed column, which reaches the scan;
+    null where the field is missing.  None if it has no such form, or if it may
+    be an error."""
+    field, want = F.col(f"`{p.field}`"), _number(p.value)
+    if dtype == "string":
+        if p.operator in ("eq", "neq") and want is None:
+            return field == p.value if p.operator == "eq" else field != p.value
+        test = {"contains": F.contains, "startsWith": F.startswith, "endsWith": F.endswith}.get(p.operator)
+        return test(field, F.lit(p.value)) if test else field.rlike(p.value) if p.operator == "regex" else None
+    if want is None or not math.isfinite(want) or p.operator not in ("eq", "neq", *NUMERIC):
+        return None
+    if dtype in INTEGRAL and abs(want) < 2**31:  # whole bounds, so that the column is not cast
+        low, high = math.floor(want), math.ceil(want)
+        if p.operator in ("eq", "neq") and low != high:
+            return None
+        return {"gt": field > low, "gte": field >= high, "lt": field < high, "lte": field <= low, "eq": field == low, "neq": field != low}[p.operator]
+    if dtype == "double":
+        return {"gt": field > want, "gte": field >= want, "lt": field < want, "lte": field <= want, "eq": field == want, "neq": field != want}[p.operator]
+    return None
+
+
+def passes(df: DataFrame, predicates: list[Predicate], mode: str = "and", pass_missing: bool = False) -> Column | None:
+    """What ``evaluate`` lets through, as one Boolean of plain comparisons; None
+    if a predicate has none."""
+    types, terms = dict(df.dtypes), []
+    if mode not in ("and", "or"):
+        raise ValueError("mode is 'and' or 'or'")
+    for p in predicates:
+        if p.field not in types:
+            terms.append(F.lit(mode == "and" and pass_missing))
+            continue
+        c = plain(p, types[p.field])
+        if c is None:
+            return None
+        terms.append(c | F.col(f"`{p.field}`").isNull() if pass_missing and mode == "and" else c)
+    return reduce(lambda a, b: a & b if mode == "and" else a | b, terms) if terms else F.lit(True)
+
+
 def filter_rows(df: DataFrame, predicates: list[Predicate], mode: str = "and", pass_missing: bool = False, keep_all: bool = False) -> DataFrame:
     """The rows that pass; with ``keep_all``, all of them with ``outcome``
     (pass, blocked, evalError), ``reason`` and ``eval_error``."""
+    if not keep_all and (plainly := passes(df, predicates, mode, pass_missing)) is not None:
+        return df.where(plainly)
     r = evaluate(df, predicates, mode, pass_missing)
     if not keep_all:
         return df.where(r.passed)
@@ -107,6 +153,25 @@ def filter_rows(df: DataFrame, predicates: list[Predicate], mode: str = "and", p
     return shown.select(*df.columns, kind.alias("outcome"), F.col("__r.reason").alias("reason"), F.col("__r.error").alias("eval_error"))
 
 
+def with_defaults(handler: dict, trigger: dict) -> dict:
+    """A handler's operator and mode, or else its trigger's; its predicates."""
+    operator = handler.get("operator") or trigger.get("operator") or "eq"
+    listed = handler.get("predicates") or ([handler] if handler.get("field") else [])
+    predicates = [Predicate(p["field"], p.get("operator") or operator, str(p.get("value", ""))) for p in listed]
+    return {"predicates": predicates, "mode": (handler.get("predicateMode") or trigger.get("predicateMode") or "and").lower()}
+
+
+def judge_rows(df: DataFrame, predicates: list[Predicate], mode: str = "and", pass_missing: bool = False, duplicate: Column | None = None) -> DataFrame:
+    """All rows, with ``passed``, ``reason`` and ``error_message``; rows that
+    ``duplicate`` holds for do not pass, for the reason ``duplicate``."""
+    r = evaluate(df, predicates, mode, pass_missing)
+    again = F.coalesce(duplicate, F.lit(False)) if duplicate is not None else F.lit(False)
+    shown = df.select("*", r.alias("__r"), again.alias("__d"))
+    passed = F.col("__r.passed") & ~F.col("__d")
+    reason = F.when(F.col("__r.passed") & F.col("__d"), "duplicate").otherwise(F.col("__r.reason"))
+    return shown.select(*df.columns, passed.alias("passed"), reason.alias("reason"), F.col("__r.error").alias("error_message"))
+
+
 @dataclass(frozen=True)
 class Route:
     name: str

@@ -7,7 +7,6 @@ Within a micro-batch a key's rows are put in order first.
 from __future__ import annotations
 
 import json
-from dataclasses import asdict
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.core import micros
-from ..operators.windows import AnchoredWindow, Settings
+from ..operators.windows import AnchoredWindow, Seen, Settings
 
 OUT = "key string, kind string, value double, count long, window_start_us long, closed_at_us long, late_count long, dropped_count long"
 
@@ -29,12 +28,10 @@ def tumbling_time_stream(events: DataFrame, settings: Settings, value: str, ts:
     def step(k, batches, state: GroupState):
         w = AnchoredWindow(settings)
         if state.exists:
-            saved = json.loads(state.get[0])
-            w = AnchoredWindow(settings, **saved)
-            w.events = [tuple(e) for e in w.events]
+            w = AnchoredWindow(settings, **json.loads(state.get[0]))
         out = []
         if state.hasTimedOut:
-            if w.events:
+            if w.size:
                 r = w.close(w.watermark)
                 out.append((k[0], "closed", r["value"], r["count"], r["window_start"], r["closed_at"], r["late_count"], r["dropped_count"]))
         else:
@@ -43,10 +40,8 @@ def tumbling_time_stream(events: DataFrame, settings: Settings, value: str, ts:
                 if hit := w.add(us, v, m):
                     kind, r = hit
                     out.append((k[0], kind, r["value"], r.get("count"), r.get("window_start"), r.get("closed_at", r.get("ts")), r.get("late_count"), r.get("dropped_count")))
-        saved = asdict(w)
-        saved.pop("settings")
-        state.update((json.dumps(saved),))
-        if idle_timeout_ms and w.events:
+        state.update((json.dumps(w.saved()),))
+        if idle_timeout_ms and w.size:
             state.setTimeoutDuration(idle_timeout_ms)
         done = pd.DataFrame(out, columns=names)
         yield done.astype({c: "Int64" for c in names if c.endswith(("_us", "count"))})
@@ -97,6 +92,39 @@ def keyed_join_stream(events: DataFrame, topics: list[str], topic: str, key: str
     return rows.groupBy("join_key").applyInPandasWithState(step, JOIN_OUT, "saved string", "append", GroupStateTimeout.ProcessingTimeTimeout)
 
 
-def dedup_stream(events: DataFrame, message_id: str, ts: str, ttl: str) -> DataFrame:
-    """First sightings within ``ttl`` of event time."""
-    return events.withWatermark(ts, ttl).dropDuplicatesWithinWatermark([message_id])
+def dedup_stream(events: DataFrame, message_id: str, ts: str, ttl_ms: int, order: str) -> DataFrame:
+    """First sightings of a stream by the rule of ``windows.dedup_ttl``; an id's
+    state goes once no event has brought it for ``ttl_ms`` of processing time."""
+    names = events.columns
+    rows = events.where(F.col(message_id).isNotNull()).select("*", micros(events, ts).alias("__us"))
+
+    def step(_, batches, state: GroupState):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        seen = Seen(ttl_ms * 1000)
+        seen.until = state.get[0] if state.exists else None
+        pdf = pd.concat(list(batches)).sort_values(["__us", order], kind="stable")
+        fresh = [seen.add(us) for us in pdf["__us"].tolist()]
+        state.update((seen.until,))
+        state.setTimeoutDuration(ttl_ms)
+        yield pdf[fresh][names]
+
+    return rows.groupBy(message_id).applyInPandasWithState(step, events.schema, "until long", "append", GroupStateTimeout.ProcessingTimeTimeout)
+
+
+def fire(batch: DataFrame, handlers: dict, kind: str = "kind") -> None:
+    """A micro-batch to its handlers: each gets the rows of its kind, ``all``
+    gets every row.  The batch is read once."""
+    batch.persist()
+    try:
+        for name, handle in handlers.items():
+            handle(batch if name == "all" else batch.where(F.col(kind) == name))
+    finally:
+        batch.unpersist()
+
+
+def write_events(stream: DataFrame, handlers: dict, checkpoint: str, kind: str = "kind"):
+    """Runs ``fire`` on each micro-batch; its offsets count as done only once all
+    handlers have returned."""
+    return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda batch, _: fire(batch, handlers, kind)).start()

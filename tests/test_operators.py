@@ -69,7 +69,7 @@ def test_array_functions_and_errors(spark):
 
 def test_clean_text_and_elements(spark):
     t = "A &amp;lt; b&#160;\x00\nmail me@x.org\nhttps://x.y/z\n\n\n\nBC\n\n7.5.0\n\nthis line is far longer than twenty bytes"
-    assert one(spark, fn["text.cleanText"](F.col("t")), t=t) == "A &lt; b\nmail [email]\n\nBC 7.5.0\n\nthis line is far longer than twenty bytes"
+    assert one(spark, fn["text.cleanText"](F.col("t")), t=t) == "A &lt; b\nmail [email] BC\n\n7.5.0\n\nthis line is far longer than twenty bytes"
     e = '[{"type":"Title","text":"T"},{"type":"Footer","text":"f"},{"type":"Table","text":"x","metadata":{"text_as_html":"<table><tr><th>a</th><th>b</th></tr><tr><td>1</td><td>2</td></tr></table>"}}]'
     assert text_functions.parse_elements(e) == "T\n\na: 1 | b: 2"
 
