@@ -242,7 +242,10 @@ def smart_chunks(elements: str | None, name: str | None = "") -> str | None:
                 flush()
             prose.extend([text] if text else [])
     flush()
-    return "\n\n".join({c.strip(): c for c in reversed(out)}[k] for k in dict.fromkeys(c.strip() for c in out))
+    first: dict[str, str] = {}
+    for c in out:
+        first.setdefault(c.strip(), c)
+    return "\n\n".join(c for k, c in first.items() if k)
 
 
 @scalar("text.smartChunk")

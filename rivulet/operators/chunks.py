@@ -56,15 +56,20 @@ def sentences(text: Column, size: int) -> Column:
     return packed(text)
 
 
-def chunk(df: DataFrame, strategy: str, id_col: str = "id", text: str = "text", size: int = 1000, overlap: int = 0) -> DataFrame:
-    """chunk_id, source_id, chunk_index, chunk_total, chunk_strategy, chunk."""
+def chunk(df: DataFrame, strategy: str, id_col: str = "id", text: str = "text", size: int = 1000, overlap: int = 0, keep: list[str] = ()) -> DataFrame:
+    """chunk_id, source_id, chunk_index, chunk_total, chunk_strategy, chunk, and
+    the columns ``keep`` of the document (its metadata)."""
     if strategy not in ("fixed", "sentence", "paragraph", "heading"):
         raise ValueError(f"unknown strategy {strategy!r}")
     if overlap < 0 or strategy == "fixed" and (size <= 0 or overlap >= size):
         raise ValueError("needs 0 <= overlap < size")
     t = F.col(text)
     parts = {"fixed": lambda: fixed(t, size, overlap), "sentence": lambda: sentences(t, size or 1000), "paragraph": lambda: paragraphs(t), "heading": lambda: headings(t)}[strategy]()
-    capped = F.flatten(F.transform(F.col("__parts"), lambda p: fixed(p, CAP)))
-    rows = df.select(F.col(id_col).cast("string").alias("source_id"), parts.alias("__parts")).select("source_id", capped.alias("parts"))
-    each = rows.select("source_id", F.size("parts").alias("chunk_total"), F.posexplode("parts").alias("chunk_index", "chunk"))
-    return each.select(F.concat_ws("-chunk-", "source_id", F.col("chunk_index").cast("string")).alias("chunk_id"), "source_id", "chunk_index", "chunk_total", F.lit(strategy).alias("chunk_strategy"), "chunk")
+    # parts of a fixed size within the cap, and short texts, are never cut again
+    capped = F.col("__parts")
+    if strategy != "fixed" or size > CAP:
+        cut = F.flatten(F.transform(F.col("__parts"), lambda p: fixed(p, CAP)))
+        capped = F.when(F.exists("__parts", lambda p: F.length(p) > CAP), cut).otherwise(F.col("__parts"))
+    rows = df.select(F.col(id_col).cast("string").alias("source_id"), parts.alias("__parts"), *keep).select("source_id", capped.alias("parts"), *keep)
+    each = rows.select("source_id", *keep, F.size("parts").alias("chunk_total"), F.posexplode("parts").alias("chunk_index", "chunk"))
+    return each.select(F.concat_ws("-chunk-", "source_id", F.col("chunk_index").cast("string")).alias("chunk_id"), "source_id", "chunk_index", "chunk_total", F.lit(strategy).alias("chunk_strategy"), "chunk", *keep)

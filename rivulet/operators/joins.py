@@ -95,5 +95,16 @@ def keyed_join(df: DataFrame, topics: list[str], topic: str, key: str, ts: str,
     return ordered.mapInArrow(run, OUT)
 
 
+def interval_join(left: DataFrame, right: DataFrame, keys: list[str], left_ts: str, right_ts: str, seconds: int) -> DataFrame:
+    """Pairs of equal keys whose right time lies after the left one, by at most
+    ``seconds``.  Times are dealt to buckets of that length, so that the interval
+    is an equality; a left row meets its own bucket and the next.  Columns of the
+    right side must differ from the left's but for keys and times."""
+    width = seconds * 1_000_000
+    a = left.withColumn("__us", micros(left, left_ts)).withColumn("__bucket", F.explode(F.array(*[F.floor(F.col("__us") / width) + i for i in (0, 1)])))
+    b = right.withColumn("__then", micros(right, right_ts)).withColumn("__bucket", F.floor(F.col("__then") / width)).drop(right_ts)
+    return a.join(b, [*keys, "__bucket"]).where((F.col("__then") > F.col("__us")) & (F.col("__then") <= F.col("__us") + width)).drop("__us", "__then", "__bucket")
+
+
 def as_json(messages: dict) -> str:
     return json.dumps(messages, sort_keys=True)

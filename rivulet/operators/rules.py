@@ -11,6 +11,7 @@ import re
 from functools import reduce
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -153,6 +154,78 @@ def severity_counts(findings: DataFrame) -> DataFrame:
     return findings.groupBy("severity").agg(F.count("*").alias("findings"))
 
 
+def split_findings(findings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(problems, strengths): what GOOD rules found is a strength."""
+    return findings.where("severity <> 'GOOD'"), findings.where("severity = 'GOOD'")
+
+
+def rank(severity: str = "severity") -> Column:
+    """Position of a severity, the gravest first."""
+    return F.array_position(F.array(*[F.lit(x) for x in SEVERITIES]), F.col(severity))
+
+
+def report(docs: DataFrame, findings: DataFrame, key: str) -> DataFrame:
+    """A row a document: key, errors, warnings, infos and ``report``, Markdown with
+    the findings by severity and rule, and the strengths.  Documents without
+    findings have a report too."""
+    cell = lambda c: F.replace(F.replace(F.replace(c, F.lit("\n"), F.lit(" ")), F.lit("\r"), F.lit("")), F.lit("|"), F.lit("\\|"))
+    n = lambda s: F.count(F.when(F.col("severity") == s, 1))
+    one = F.struct(rank().alias("rank"), "rule_id", "message", "severity")
+    each = findings.groupBy(key).agg(F.array_sort(F.collect_list(one)).alias("found"), n("ERROR").alias("errors"), n("WARNING").alias("warnings"), n("INFO").alias("infos"))
+    rows = docs.select(key).join(each, key, "left").na.fill(0, ["errors", "warnings", "infos"]).withColumn("found", F.coalesce("found", F.array()))
+    bad, good = F.filter("found", lambda f: f.severity != "GOOD"), F.filter("found", lambda f: f.severity == "GOOD")
+    lines = F.transform(bad, lambda f: F.concat(F.lit("| "), f.severity, F.lit(" | "), f.rule_id, F.lit(" | "), cell(f.message), F.lit(" |\n")))
+    strong = F.transform(good, lambda f: F.concat(F.lit("- **"), f.rule_id, F.lit("** \u2014 "), f.message, F.lit("\n")))
+    head = F.format_string("## Analysis Report \u2014 %s\n\n**Errors:** %d  |  **Warnings:** %d  |  **Info:** %d\n\n", F.element_at(F.split(F.col(key).cast("string"), "/"), -1), "errors", "warnings", "infos")
+    table = F.when(F.size(lines) > 0, F.concat(F.lit("### Findings\n\n| Severity | Rule | Message |\n|----------|------|---------|\n"), F.array_join(lines, ""), F.lit("\n"))).otherwise("")
+    strengths = F.when(F.size(strong) > 0, F.concat(F.lit("### Strengths\n\n"), F.array_join(strong, ""))).otherwise("")
+    return rows.select(key, "errors", "warnings", "infos", F.concat(head, table, strengths).alias("report"))
+
+
+# Which parser reads a file of that ending.
+PARSERS = {"json": "json", "xml": "xml", "bwp": "xml", "yaml": "yaml", "yml": "yaml", "properties": "kv", "env": "kv", "conf": "kv"}
+
+
+def parser_of(name: Column) -> Column:
+    """json, xml, yaml, kv or lines by a file name's ending."""
+    known = F.create_map(*[F.lit(x) for kv in PARSERS.items() for x in kv])
+    return F.coalesce(F.try_element_at(known, F.lower(F.element_at(F.split(name, r"\."), -1))), F.lit("lines"))
+
+
+def xml_values(content: Column, path: str) -> Column:
+    """The texts of the nodes at an XPath; empty where the XML has none."""
+    return F.xpath(content, F.lit(path if "/text()" in path or "/@" in path else path.rstrip("/") + "/text()"))
+
+
+def yaml_to_json(content: Column) -> Column:
+    """A YAML document as JSON, so that every condition reads it; null if it is
+    not YAML.  Needs a YAML parser on the workers."""
+    @F.pandas_udf("string")
+    def parsed(texts: pd.Series) -> pd.Series:
+        import json
+
+        import yaml
+
+        def one(t):
+            try:
+                return None if t is None else json.dumps(yaml.safe_load(t), default=str)
+            except yaml.YAMLError:
+                return None
+
+        return texts.map(one)
+
+    return parsed(content)
+
+
+def as_json(content: Column, kind: str) -> Column:
+    """A document of that parser as JSON for conditions: ``kv`` as an object,
+    ``lines`` as a list of texts."""
+    return {
+        "json": lambda: content, "yaml": lambda: yaml_to_json(content), "kv": lambda: F.to_json(key_values(content)),
+        "lines": lambda: F.to_json(F.split(content, r"\r?\n", -1)),
+    }[kind]()
+
+
 def key_values(content: Column) -> Column:
     """map of ``key=value`` lines; blank lines and # comments are skipped; the last of a key wins."""
     rows = F.filter(F.transform(F.split(content, r"\r?\n"), F.trim), lambda x: x.contains("=") & ~x.startswith("#"))

@@ -57,17 +57,25 @@ def sliding_count(df: DataFrame, size: int, value: str, key: str, order: list[st
     return df.withColumn(out, c.over(w))
 
 
-def sliding_time(df: DataFrame, size_ms: int, value: str, key: str, ts_ms: str, function: str = "sum", out: str = "value_out", order: list[str] | None = None) -> DataFrame:
+def sliding_time(df: DataFrame, size_ms: int, value: str, key: str, ts_ms: str, function: str = "sum", out: str = "value_out", order: list[str] | None = None, ascending: bool = False) -> DataFrame:
     """Each event with the aggregate over the events of its key that came before
     it, and itself, from ``size_ms`` before its time on, inclusive.
 
     ``order`` is the arrival order.  With it, events leave from the front alone,
     as long as the first is too old: an older event behind a newer one stays.
-    Without it, times are the order and must ascend and differ."""
+    Without it, times are the order and must ascend and differ.  ``ascending``
+    says that times never fall in that order, as where it begins with the time:
+    sums, counts and means are frames then, less what follows at the same time."""
     if order is None:
         w = Window.partitionBy(key).orderBy(ts_ms).rangeBetween(-size_ms, 0)
         c = F.count(value).cast("double") if function == "count" else getattr(F, function)(F.col(value).cast("double"))
         return df.withColumn(out, c.over(w))
+    if ascending and function in ("sum", "count", "avg"):
+        w = Window.partitionBy(key).orderBy(ts_ms).rangeBetween(-size_ms, 0)
+        after = Window.partitionBy(key, ts_ms).orderBy(*order).rowsBetween(1, Window.unboundedFollowing)
+        v = F.col(value).cast("double")
+        total, n = (f(v).over(w) - F.coalesce(f(v).over(after), F.lit(0)) for f in (F.sum, F.count))
+        return df.withColumn(out, {"sum": total, "count": n.cast("double"), "avg": total / n}[function])
     names = [c for c in df.columns if c != out]
 
     class Held:
@@ -90,10 +98,12 @@ def fold_sorted(df: DataFrame, key: str, order: list[str], inputs: list[Column],
     named = [c.alias(f"__in{i}") for i, c in enumerate(inputs)]
     rows = df.select("*", F.col(key).cast("string").alias("__key"), *named).repartition("__key").sortWithinPartitions("__key", *order)
 
+    size = len(inputs)
+
     def run(batches):
         state, current, first = None, None, True
         for b in batches:
-            ins = [b.column(b.schema.get_field_index(f"__in{i}")).to_pylist() for i in range(len(inputs))]
+            ins = [b.column(b.schema.get_field_index(f"__in{i}")).to_pylist() for i in range(size)]
             got = []
             for k, *x in zip(b.column(b.schema.get_field_index("__key")).to_pylist(), *ins):
                 if first or k != current:
