@@ -354,7 +354,11 @@ def _clean_sql():
     for pattern, by in ((_text.NUMERIC_ENTITY, ""), (r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F-\x{9F}]", ""), (_text.IMAGE, ""), (_text.EMAIL, "[email]"), (_text.URL_LINE.replace("(?md)", "(?m)"), ""), (_text.URL_FRAGMENT.replace("(?md)", "(?m)"), "")):
         t = f"regexp_replace({t}, '{pattern}', '{by}', 'g')"
     t = f"array_to_string(list_transform(string_split({t}, chr(10)), lambda x: {_TRIM.format('x')}), chr(10))"
-    t = rf"regexp_replace({t}, '(?m)^([^\n]{{1,{_text.SHORT}}})\n\n([^\n]{{1,{_text.SHORT}}})$', '\1 \2', 'g')"
+    # lengths are bytes: lines of hexadecimal bytes, joined by the byte of a space
+    spaced = f"replace(regexp_replace(hex({t}), '(..)', '\\1 ', 'g'), '0A ', chr(10))"
+    short = f"((?:.. ){{1,{_text.SHORT}}})"
+    pairs = rf"regexp_replace({spaced}, '(?m)^{short}\n\n{short}$', '\1 20 \2', 'g')"
+    t = f"decode(unhex(replace(replace({pairs}, chr(10), '0A '), ' ', '')))"
     return _TRIM.format(rf"regexp_replace({t}, '\n{{3,}}', chr(10) || chr(10), 'g')")
 
 
@@ -689,9 +693,9 @@ def rel_rollup(spark, d):
     return table(spark, d, "lineitem").rollup("l_returnflag", "l_linestatus").agg(F.round(F.sum("l_quantity"), 2).alias("q"), F.count("*").alias("n"))
 
 
-@query("SELECT p_brand, p_size, count(*) AS n, round(avg(p_retailprice), 4) AS price FROM part GROUP BY CUBE (p_brand, p_size)")
+@query("SELECT p_brand, p_size, count(*) AS n, sum(p_retailprice::DECIMAL(12,2))::DOUBLE AS price FROM part GROUP BY CUBE (p_brand, p_size)")
 def rel_cube(spark, d):
-    return table(spark, d, "part").cube("p_brand", "p_size").agg(F.count("*").alias("n"), F.round(F.avg("p_retailprice"), 4).alias("price"))
+    return table(spark, d, "part").cube("p_brand", "p_size").agg(F.count("*").alias("n"), F.sum(F.col("p_retailprice").cast("decimal(12,2)")).cast("double").alias("price"))
 
 
 @query("SELECT o_custkey, o_orderkey, rank FROM (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey)::INTEGER AS rank FROM orders) WHERE rank <= 3")
