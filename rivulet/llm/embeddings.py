@@ -21,10 +21,11 @@ from pyspark.sql import functions as F
 from .components import components
 from .scratch import Scratch
 
-MIN_SHARDS, SHARD_ROWS = 8, 250_000  # as many shards as keep a graph within a worker's memory
+MIN_SHARDS, SHARD_ROWS, SHARD_BYTES = 8, 128_000, 64 << 20  # as many shards as keep a graph's rows and vectors within these
 BLOCK = 2048  # queries of a task's block
-BLOCKS = 8  # blocks that share one copy of a graph
+BLOCKS = 32  # blocks, at most, that share one copy of a graph; fewer where their vectors exceed SHARD_BYTES
 DEGREE, BUILD_BEAM, BEAM = 12, 48, 32
+SLOTS = 1 << 13  # of a query's table of visited nodes
 AUDIT, RECALL = 64, 0.99
 SLACK = 1e-5  # of single against double precision
 
@@ -38,17 +39,18 @@ class Graph:
     def beam(self, layer: int, q: np.ndarray, start: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         """The best ``width`` (ids, cosines) found for each query, in lockstep."""
         near, m = self.layers[layer], len(q)
-        row = np.arange(m)
-        seen = np.zeros((m, len(self.x) + 1), bool)  # the last column stands for "none"
-        seen[:, -1] = True
+        row = np.arange(m)[:, None]
+        # a hashed table: a node that another has put out may be looked at, and found, again
+        slots = min(SLOTS, 1 << max(1, len(self.x) - 1).bit_length())
+        seen = np.full((m, slots), -1, np.int32)
         ids = np.full((m, width), -1)
         sims = np.full((m, width), -np.inf, np.float32)
         first = min(width, start.shape[1])
         ids[:, :first] = start[:, :first]
         sims[:, :first] = np.where(start[:, :first] < 0, -np.inf, np.einsum("md,mkd->mk", q, self.x[start[:, :first]]))
-        seen[row[:, None], ids] = True
+        seen[row, ids[:, :first] % slots] = ids[:, :first]
         fresh = ids >= 0
-        active = row
+        active = row[:, 0]
         while len(active):
             s = np.where(fresh[active], sims[active], -np.inf)
             take = min(4, width)
@@ -58,14 +60,19 @@ class Graph:
             active, pick, ok = active[live], pick[live], ok[live]
             if not len(active):
                 break
-            fresh[active[:, None], pick] = False
-            new = near[np.where(ok, ids[active[:, None], pick], -1)]
+            at = active[:, None]
+            fresh[at, pick] = False
+            new = near[np.where(ok, ids[at, pick], -1)]
             new[~ok] = -1
             new = new.reshape(len(active), -1)
-            new = np.where(seen[active[:, None], new], -1, new)
+            new = np.where(seen[at, new % slots] == new, -1, new)
             new.sort(axis=1)
             new[:, 1:][new[:, 1:] == new[:, :-1]] = -1
-            seen[active[:, None], new] = True
+            seen[at, new % slots] = np.where(new < 0, seen[at, new % slots], new)
+            # columns without a new node for any query are left out
+            new = new[:, (new >= 0).any(axis=0)]
+            if not new.shape[1]:
+                continue
             got = np.where(new < 0, -np.inf, np.matmul(self.x[new], q[active][:, :, None])[:, :, 0]).astype(np.float32)
             all_s = np.concatenate([sims[active], got], axis=1)
             best = np.argpartition(-all_s, width - 1, axis=1)[:, :width]
@@ -90,9 +97,8 @@ class Graph:
         todo, out = np.arange(len(q)), []
         while len(todo):
             again = []
-            step = max(1, min(256, (1 << 26) // (len(self.x) + 1)))
-            for i in range(0, len(todo), step):
-                part = todo[i : i + step]
+            for i in range(0, len(todo), 256):
+                part = todo[i : i + 256]
                 ids, sims = self.search(q[part], min(width, len(self.x)))
                 hit = sims >= least
                 full = hit.all(axis=1) & (width < len(self.x))
@@ -101,12 +107,33 @@ class Graph:
                 r, c = np.nonzero(hit)
                 out.append((part[r], ids[r, c]))
             todo, width = np.concatenate(again), 2 * width
-        return (np.concatenate([a for a, _ in out]), np.concatenate([b for _, b in out])) if out else (np.empty(0, int), np.empty(0, int))
+        if not out:
+            return np.empty(0, int), np.empty(0, int)
+        return tuple(np.unique(np.concatenate([np.stack(x) for x in out], axis=1), axis=1))
+
+
+def varied(x: np.ndarray, node: np.ndarray, ids: np.ndarray, keep: int) -> np.ndarray:
+    """Of each node's candidates (-1: none), nearest first, those that are nearer to
+    the node than to any chosen before; free places go to the nearest others."""
+    sims = np.where(ids < 0, -np.inf, np.einsum("md,mkd->mk", x[node], x[ids]))
+    order = np.argsort(-sims, axis=1, kind="stable")[:, : 2 * keep]
+    ids, sims = np.take_along_axis(ids, order, 1), np.take_along_axis(sims, order, 1)
+    there = sims > -np.inf
+    if ids.shape[1] > 1:
+        v = x[ids]
+        between = np.matmul(v, v.transpose(0, 2, 1))
+        chosen = np.zeros(ids.shape, bool)
+        for k in range(ids.shape[1]):
+            covered = (chosen & (between[:, k] > sims[:, k, None])).any(axis=1)
+            chosen[:, k] = there[:, k] & ~covered & (chosen.sum(axis=1) < keep)
+        there = there.astype(np.int8) + chosen
+    rank = np.argsort(-there.astype(np.int8), axis=1, kind="stable")[:, :keep]
+    return np.where(np.take_along_axis(there, rank, 1) > 0, np.take_along_axis(ids, rank, 1), -1)
 
 
 def build(x: np.ndarray, degree: int = DEGREE, width: int = BUILD_BEAM, seed: int = 5) -> Graph:
     """Batches are inserted into the layers below their drawn top; links are
-    mutual, the best kept, with some room for links that are not of the closest."""
+    mutual, and chosen to lead in different directions."""
     n = len(x)
     rng = np.random.default_rng(seed)
     level = np.minimum((-np.log(rng.random(n)) / math.log(degree)).astype(int), 6)
@@ -120,44 +147,48 @@ def build(x: np.ndarray, degree: int = DEGREE, width: int = BUILD_BEAM, seed: in
         q = x[batch]
         inner = q @ q.T
         np.fill_diagonal(inner, -np.inf)
+        at = np.full((len(batch), 1), g.entry)
         for k in range(top, -1, -1):
             mine = np.flatnonzero(level[batch] >= k)
-            if not len(mine):
-                continue
-            ids, sims = g.beam(k, q[mine], g.descend(q[mine], k), min(width, n))
-            there = level[batch] >= k
-            peers = np.where(there[None, :], inner[mine], -np.inf)
-            all_i = np.concatenate([ids, np.tile(batch, (len(mine), 1))], axis=1)
-            all_s = np.concatenate([sims, peers], axis=1)
-            keep = min(degree, all_s.shape[1])
-            best = np.argsort(-all_s, axis=1, kind="stable")[:, :keep]
-            to = np.where(np.take_along_axis(all_s, best, 1) > -np.inf, np.take_along_axis(all_i, best, 1), -1)
-            _connect(x, layers[k], batch[mine], to)
+            if len(mine):
+                ids, _ = g.beam(k, q[mine], at[mine], min(width, n))
+                there = level[batch] >= k
+                peers = np.where(there[None, :], inner[mine], -np.inf)
+                close = np.argpartition(-peers, min(degree, len(batch) - 1), axis=1)[:, :degree]
+                near = np.where(np.take_along_axis(peers, close, 1) > -np.inf, batch[close], -1)
+                _connect(x, layers[k], batch[mine], varied(x, batch[mine], np.concatenate([ids, near], axis=1), degree))
+            if k:
+                ids, sims = g.beam(k, q, at, 4)
+                at = np.take_along_axis(ids, sims.argmax(axis=1)[:, None], 1)
         done += len(batch)
     return g
 
 
 def _connect(x, near, nodes, to):
-    """Write the links of new nodes, and the backward ones; full rows keep a
-    varied choice: the closest half and an even spread of the others."""
+    """Write the links of new nodes, and the backward ones; rows that are full
+    choose again among all they have."""
     cap = near.shape[1]
     near[nodes, : to.shape[1]] = to
-    src = np.repeat(nodes, to.shape[1])[to.ravel() >= 0]
-    dst = to.ravel()[to.ravel() >= 0]
-    order = np.argsort(dst, kind="stable")
-    src, dst = src[order], dst[order]
-    begin = np.flatnonzero(np.r_[True, dst[1:] != dst[:-1]]) if len(dst) else []
-    for b, e in zip(begin, [*begin[1:], len(dst)]):
-        d = dst[b]
-        old = near[d][near[d] >= 0]
-        links = np.unique(np.concatenate([old, src[b:e]]))
-        links = links[links != d]
-        if len(links) > cap:
-            links = links[np.argsort(-(x[links] @ x[d]), kind="stable")]
-            half = cap // 2
-            links = np.concatenate([links[:half], links[half:][np.linspace(0, len(links) - half - 1, cap - half).astype(int)]])
-        near[d] = -1
-        near[d, : len(links)] = links
+    src, dst = np.repeat(nodes, to.shape[1])[to.ravel() >= 0], to.ravel()[to.ravel() >= 0]
+    if not len(dst):
+        return
+    heads = np.unique(dst)
+    held = near[heads]
+    old = np.stack([np.repeat(heads, cap)[held.ravel() >= 0], held.ravel()[held.ravel() >= 0]])
+    pairs = np.unique(np.concatenate([old, np.stack([dst, src])], axis=1), axis=1)
+    pairs = pairs[:, pairs[0] != pairs[1]]
+    heads, begin, count = np.unique(pairs[0], return_index=True, return_counts=True)
+    place = np.arange(pairs.shape[1]) - np.repeat(begin, count)
+    few = np.repeat(count <= cap, count)
+    near[heads] = -1
+    near[pairs[0, few], place[few]] = pairs[1, few]
+    full = heads[count > cap]
+    for i in range(0, len(full), 256):
+        some = full[i : i + 256]
+        mine = np.isin(pairs[0], some)
+        wide = np.full((len(some), int(place[mine].max()) + 1), -1)
+        wide[np.searchsorted(some, pairs[0, mine]), place[mine]] = pairs[1, mine]
+        near[some] = varied(x, some, wide, cap)
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -235,11 +266,15 @@ def embedding_components(rows: DataFrame, vec_id: str = "vec_id", embedding: str
     scratch = Scratch(spark, "hnsw")
     v = rows.select(F.col(vec_id).alias("vec_id"), F.transform(F.col(embedding), lambda x: x.cast("double")).alias("v"))
     sound = F.coalesce(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0), F.lit(False))
-    v = scratch.cut(v.withColumn("v", F.when(sound, F.transform("v", lambda x: x + F.lit(0.0)))), "vectors")
-    classes = scratch.cut(v.where("v is not null").groupBy("v").agg(F.count("*").alias("n"), F.min("vec_id").alias("rep")).select(F.monotonically_increasing_id().alias("node"), "*", F.size("v").alias("dim")).withColumn("h", F.xxhash64("node")), "classes")
+    v = v.withColumn("v", F.when(sound, F.transform("v", lambda x: x + F.lit(0.0))))
+    # 128 bits of hash stand for a vector where rows are grouped and joined
+    keyed = v.select("vec_id", "v", *[F.when(F.col("v").isNotNull(), F.xxhash64(F.lit(k), "v")).alias(f"k{k}") for k in (1, 2)])
+    v = scratch.cut(keyed.select("vec_id", "k1", "k2"), "rows")
+    classes = scratch.cut(keyed.where("v is not null").groupBy("k1", "k2").agg(F.first("v").alias("v"), F.count("*").alias("n"), F.min("vec_id").alias("rep")).select(F.monotonically_increasing_id().alias("node"), "*", F.size("v").alias("dim")).withColumn("h", F.xxhash64("node")), "classes")
     dims = {r.dim: r.n for r in classes.groupBy("dim").agg(F.count("*").alias("n")).collect()}
-    shards = {d: max(min_shards, -(-n // shard_rows)) for d, n in dims.items()}
-    groups = {d: -(-n // (BLOCK * BLOCKS)) * BLOCKS for d, n in dims.items()}
+    shards = {d: max(min_shards, -(-n // shard_rows), -(-n * d * 8 // SHARD_BYTES)) for d, n in dims.items()}
+    share = {d: max(1, min(BLOCKS, SHARD_BYTES // (BLOCK * d * 8))) for d in dims}  # blocks of a copy
+    groups = {d: -(-n // (BLOCK * share[d])) * share[d] for d, n in dims.items()}
     if not dims:
         return v.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     by_dim = lambda m: F.element_at(F.create_map(*[F.lit(x) for kv in m.items() for x in kv]), F.col("dim"))
@@ -274,14 +309,15 @@ def embedding_components(rows: DataFrame, vec_id: str = "vec_id", embedding: str
                 out += [("e", a, b, 0) for a, b in edges.tolist()]
         return pd.DataFrame(out, columns=["kind", "a", "b", "n"]).astype({"a": "int64", "b": "int64", "n": "int64"})
 
-    spread = lambda m, size, name: F.explode(F.sequence(F.lit(0), (by_dim(m) / size).cast("int") - 1)).alias(name)
-    left = graphs.select("*", spread(groups, BLOCKS, "part"))
-    right = blocks.select("*", F.floor(F.col("block") / BLOCKS).cast("int").alias("part"), spread(shards, 1, "shard"))
+    spread = lambda m, name: F.explode(F.sequence(F.lit(0), by_dim(m) - 1)).alias(name)
+    left = graphs.select("*", spread({d: groups[d] // share[d] for d in dims}, "part"))
+    right = blocks.select("*", F.floor(F.col("block") / by_dim(share)).cast("int").alias("part"), spread(shards, "shard"))
     found = scratch.cut(left.groupBy("dim", "shard", "part").cogroup(right.groupBy("dim", "shard", "part")).applyInPandas(queried, "kind string, a long, b long, n long"), "found")
     counts = found.where("kind = 'n'").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("links"))
     comp = components(found.where("kind = 'e'").select("a", "b"), scratch).withColumnRenamed("component", "c")
-    told = scratch.cut(classes.select("node", "v", "n", "rep").join(counts, "node", "left").join(comp, "node", "left").select("v", "rep", F.coalesce("c", "node").alias("c"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links")), "told")
+    told = scratch.cut(classes.select("node", "k1", "k2", "n", "rep").join(counts, "node", "left").join(comp, "node", "left").select("k1", "k2", "rep", F.coalesce("c", "node").alias("c"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links")), "told")
     low = scratch.cut(told.groupBy("c").agg(F.min("rep").alias("component_id")), "low")
-    label = scratch.cut(told.join(low, "c").select("v", "n_links", "component_id"), "label")
-    out = v.join(label, "v", "left").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("v").isNull(), F.col("vec_id")).otherwise(F.col("component_id")).alias("component_id"))
+    label = scratch.cut(told.join(low, "c").select("k1", "k2", "n_links", "component_id"), "label")
+    scratch.keep(v, label)
+    out = v.join(label, ["k1", "k2"], "left").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("k1").isNull(), F.col("vec_id")).otherwise(F.col("component_id")).alias("component_id"))
     return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
