@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 from .components import components
 from .scratch import Scratch
 
-MIN_SHARDS, SHARD_ROWS, SHARD_BYTES = 8, 128_000, 64 << 20  # as many shards as keep a graph's rows and vectors within these
+MIN_SHARDS, SHARD_ROWS, SHARD_BYTES = 4, 128_000, 64 << 20  # as many shards as keep a graph's rows and vectors within these
 BLOCK = 2048  # queries of a task's block
-BLOCKS = 32  # blocks, at most, that share one copy of a graph; fewer where their vectors exceed SHARD_BYTES
-DEGREE, BUILD_BEAM, BEAM = 12, 48, 32
+BLOCKS = 8  # blocks, at most, that share one copy of a graph; fewer where their vectors exceed SHARD_BYTES
+DEGREE, BUILD_BEAM, BEAM = 16, 64, 16
 SLOTS = 1 << 13  # of a query's table of visited nodes
 AUDIT, RECALL = 64, 0.99
 SLACK = 1e-5  # of single against double precision
@@ -277,13 +277,14 @@ def embedding_components(rows: DataFrame, vec_id: str = "vec_id", embedding: str
     groups = {d: -(-n // (BLOCK * share[d])) * share[d] for d, n in dims.items()}
     if not dims:
         return v.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    exact = "<f4" if dict(rows.dtypes)[embedding] == "array<float>" else "<f8"  # holds the components as they came
     by_dim = lambda m: F.element_at(F.create_map(*[F.lit(x) for kv in m.items() for x in kv]), F.col("dim"))
 
     def pack(kind):
         def packed(pdf: pd.DataFrame) -> pd.DataFrame:
             pdf = pdf.sort_values("node")
             x = np.array(pdf.v.tolist(), np.float64)
-            row = {"dim": [int(pdf.dim.iloc[0])], kind: [int(pdf[kind].iloc[0])], "ids": [pdf.node.to_numpy(np.int64).tobytes()], "ns": [pdf.n.to_numpy(np.int64).tobytes()], "xs": [x.tobytes()]}
+            row = {"dim": [int(pdf.dim.iloc[0])], kind: [int(pdf[kind].iloc[0])], "ids": [pdf.node.to_numpy(np.int64).tobytes()], "ns": [pdf.n.to_numpy(np.int64).tobytes()], "xs": [x.astype(exact).tobytes()]}
             if kind == "shard":
                 g = build(unit(x).astype(np.float32))
                 row |= {"entry": [g.entry], "near": [[m.astype(np.int32).tobytes() for m in g.layers]]}
@@ -298,13 +299,13 @@ def embedding_components(rows: DataFrame, vec_id: str = "vec_id", embedding: str
     def queried(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = [(0, 0, 0, 0)][:0]
         for gr in left.itertuples():
-            gx = np.frombuffer(gr.xs).reshape(-1, gr.dim)
+            gx = np.frombuffer(gr.xs, exact).astype(np.float64).reshape(-1, gr.dim)
             near = [np.frombuffer(m, np.int32).reshape(len(gx), -1).astype(np.int64) for m in gr.near]
             g = Graph(unit(gx).astype(np.float32), near, gr.entry)
             gid, gn = np.frombuffer(gr.ids, np.int64), np.frombuffer(gr.ns, np.int64)
             for bl in right.itertuples():
                 qid = np.frombuffer(bl.ids, np.int64)
-                links, edges = query_block(g, gx, gid, gn, np.frombuffer(bl.xs).reshape(-1, bl.dim), qid, least)
+                links, edges = query_block(g, gx, gid, gn, np.frombuffer(bl.xs, exact).astype(np.float64).reshape(-1, bl.dim), qid, least)
                 out += [("n", a, 0, n) for a, n in zip(qid.tolist(), links.tolist()) if n]
                 out += [("e", a, b, 0) for a, b in edges.tolist()]
         return pd.DataFrame(out, columns=["kind", "a", "b", "n"]).astype({"a": "int64", "b": "int64", "n": "int64"})
