@@ -195,6 +195,15 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def even(x: np.ndarray) -> np.ndarray:
+    """Rows whose squares would over- or underflow, times a power of two: the
+    cosines are the same."""
+    most = np.abs(x).max(axis=1)
+    odd = (most > 1e100) | (most < 1e-100)
+    x[odd] = np.ldexp(x[odd], -np.frexp(most[odd])[1][:, None])
+    return x
+
+
 def brute(x: np.ndarray, q: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
     """(query, id) arrays of all at ``least`` cosine."""
     step = max(1, (1 << 24) // len(x))
@@ -259,7 +268,8 @@ def embedding_components(rows: DataFrame, vec_id: str = "vec_id", embedding: str
     n_links counts the other vectors at ``least`` cosine or more, copies
     included; component_id is the smallest id reachable.  Null, empty and zero
     vectors, and those with null or non-finite components, link with nothing, as
-    do vectors of different lengths with one another.  Repeated ids are vectors
+    do vectors of different lengths with one another; components of any finite
+    size are compared.  Repeated ids are vectors
     of their own; null ids take part but are never the smallest (kept is null).
     """
     spark = rows.sparkSession
@@ -283,7 +293,7 @@ def embedding_components(rows: DataFrame, vec_id: str = "vec_id", embedding: str
     def pack(kind):
         def packed(pdf: pd.DataFrame) -> pd.DataFrame:
             pdf = pdf.sort_values("node")
-            x = np.array(pdf.v.tolist(), np.float64)
+            x = even(np.array(pdf.v.tolist(), np.float64))
             row = {"dim": [int(pdf.dim.iloc[0])], kind: [int(pdf[kind].iloc[0])], "ids": [pdf.node.to_numpy(np.int64).tobytes()], "ns": [pdf.n.to_numpy(np.int64).tobytes()], "xs": [x.astype(exact).tobytes()]}
             if kind == "shard":
                 g = build(unit(x).astype(np.float32))
