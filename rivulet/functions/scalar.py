@@ -149,15 +149,25 @@ scalar("util.base64UrlDecode")(lambda s: F.decode(F.unbase64(F.translate(F.regex
 FORMATS = ("yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")
 
 
+ZONED = 2  # so many of them have an offset; the others mean UTC
+
+
 def when(s) -> Column:
-    """Timestamp of a date text in one of ``FORMATS``; others raise."""
+    """Timestamp of a date text in one of ``FORMATS``, in UTC where it has no
+    offset, whatever the session's zone; others raise."""
     s = _s(s)
-    t = F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in FORMATS])
+    read = [F.try_to_timestamp(s, F.lit(f)) for f in FORMATS]
+    t = F.coalesce(*read[:ZONED], *[F.from_utc_timestamp(x, F.current_timezone()) for x in read[ZONED:]])
     return F.when(s.isNotNull() & t.isNull(), F.raise_error(F.concat(F.lit("not a date: "), s)).cast("timestamp")).otherwise(t)
 
 
-def rfc3339(t: Column) -> Column:
-    return F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+def utc(t: Column) -> Column:
+    """The timestamp whose fields in the session's zone are those of ``t`` in UTC."""
+    return F.to_utc_timestamp(t, F.current_timezone())
+
+
+def shown(u: Column) -> Column:
+    return F.date_format(u, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
 def own_day(s) -> Column:
@@ -168,19 +178,19 @@ def own_day(s) -> Column:
 scalar("datetime.isBefore")(lambda a, b: when(a) < when(b))
 scalar("datetime.isAfter")(lambda a, b: when(a) > when(b))
 scalar("datetime.toEpoch")(lambda s: F.unix_millis(when(s)))
-scalar("datetime.fromEpoch")(lambda ms: rfc3339(F.timestamp_millis(ms.cast("long"))))
+scalar("datetime.fromEpoch")(lambda ms: shown(utc(F.timestamp_millis(ms.cast("long")))))
 scalar("datetime.isWeekend")(lambda s: F.dayofweek(own_day(s)).isin(1, 7))
 scalar("datetime.isWeekday")(lambda s: ~F.dayofweek(own_day(s)).isin(1, 7))
-scalar("datetime.startOfDay")(lambda s: rfc3339(F.date_trunc("DAY", when(s))))
-scalar("datetime.quarter")(lambda s: F.quarter(when(s)))
+scalar("datetime.startOfDay")(lambda s: shown(F.date_trunc("DAY", utc(when(s)))))
+scalar("datetime.quarter")(lambda s: F.quarter(utc(when(s))))
 
 
 @scalar("datetime.addBusinessDays")
 def add_business_days(s, n: int) -> Column:
     """Whole weeks at once, then the rest day by day; time of day is kept."""
-    t = when(s)
+    t = utc(when(s))
     if not n:
-        return rfc3339(t)
+        return shown(t)
     sign = 1 if n > 0 else -1
     weeks, rest = divmod(abs(n), 5)
     # a weekend start counts from the weekday before (after, going back)
@@ -189,7 +199,7 @@ def add_business_days(s, n: int) -> Column:
     base = iso + shift
     over = F.when(base + rest > 4, 2).otherwise(0) if sign > 0 else F.when(F.pmod(base, F.lit(7)) - rest < 0, 2).otherwise(0)
     landing = shift + sign * (7 * weeks + rest + over)
-    return rfc3339(t + F.make_dt_interval(landing.cast("int")))
+    return shown(t + F.make_dt_interval(landing.cast("int")))
 
 
 # number, json -------------------------------------------------------------------

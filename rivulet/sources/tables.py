@@ -12,21 +12,63 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def kafka_stream(spark: SparkSession, servers: str, topic: str, oldest: bool = False, max_per_trigger: int | None = None) -> DataFrame:
+BALANCE = {"range": "org.apache.kafka.clients.consumer.RangeAssignor", "roundrobin": "org.apache.kafka.clients.consumer.RoundRobinAssignor", "sticky": "org.apache.kafka.clients.consumer.StickyAssignor"}
+
+
+def kafka_options(servers: str, topics: list[str], group: str | None = None, oldest: bool = False, max_per_trigger: int | None = None, balance: str | None = None, retry_ms: int = 5000) -> dict[str, str]:
+    """The options of the reader.  Offsets are committed by the query's checkpoint
+    once a batch is done, so ``group`` only names the consumer; a fetch that
+    fails is tried again after ``retry_ms``."""
+    if not topics or any(not t.strip() for t in topics):
+        raise ValueError("topic must not be empty")
+    out = {"kafka.bootstrap.servers": servers, "subscribe": ",".join(topics), "startingOffsets": "earliest" if oldest else "latest", "fetchOffset.retryIntervalMs": str(retry_ms)}
+    if group:
+        out["kafka.group.id"] = group
+    if max_per_trigger:
+        out["maxOffsetsPerTrigger"] = str(max_per_trigger)
+    if balance:
+        out["kafka.partition.assignment.strategy"] = BALANCE[balance]
+    return out
+
+
+def kafka_stream(spark: SparkSession, servers: str, topic: str, oldest: bool = False, max_per_trigger: int | None = None, **more) -> DataFrame:
     """topic, partition, offset, key, value, timestamp of a topic; needs the
     Kafka package on the class path."""
-    r = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic).option("startingOffsets", "earliest" if oldest else "latest")
-    return (r.option("maxOffsetsPerTrigger", max_per_trigger) if max_per_trigger else r).load()
+    return spark.readStream.format("kafka").options(**kafka_options(servers, [topic], oldest=oldest, max_per_trigger=max_per_trigger, **more)).load()
 
 
-def decode_json(messages: DataFrame, schema: str, value: str = "value") -> tuple[DataFrame, DataFrame]:
-    """(decoded rows, malformed messages): a poison message never stops a stream."""
+def decode_json(messages: DataFrame, schema: str, value: str = "value", on_error: str = "skip") -> tuple[DataFrame, DataFrame]:
+    """(decoded rows, malformed messages).  ``skip``: a poison message never stops a
+    stream; ``retry``: it raises, so the batch fails and is tried again, its
+    offsets uncommitted, and there are no malformed rows."""
+    if on_error not in ("skip", "retry"):
+        raise ValueError("on_error is skip or retry")
     p = messages.withColumn("__m", F.from_json(F.col(value).cast("string"), f"{schema}, _bad string", {"columnNameOfCorruptRecord": "_bad"}))
     bad = F.col("__m").isNull() | F.col("__m._bad").isNotNull()
     rest = [c for c in messages.columns if c != value]
+    if on_error == "retry":
+        good = p.withColumn("__m", F.when(bad, F.raise_error(F.lit("malformed message")).cast(p.schema["__m"].dataType)).otherwise(F.col("__m")))
+        return good.select(*rest, "__m.*").drop("_bad"), p.where(F.lit(False)).drop("__m")
     return p.where(~bad).select(*rest, "__m.*").drop("_bad"), p.where(bad).drop("__m")
 
 
+def send_rows(df: DataFrame, sender, columns: list[str] | None = None, attempts: int = 1) -> None:
+    """Hand every row, as a dict, to ``sender(rows)``, a batch a call from the
+    executors: a fire-and-forget sink.  Failures beyond ``attempts`` are
+    dropped, as nothing waits for an answer."""
+    def put(batches):
+        for b in batches:
+            for _ in range(attempts):
+                try:
+                    sender(b.to_pylist())
+                    break
+                except OSError:
+                    continue
+            yield from ()
+
+    df.select(*(columns or df.columns)).mapInArrow(put, "done boolean").write.format("noop").mode("append").save()
+
+
 class Collections:
     """Vector collections as parquet folders under ``root``, with dimensions
     and metric in a small JSON file each, read and written through Spark."""

@@ -20,7 +20,8 @@ OUT = "key string, kind string, value double, count long, window_start_us long,
 
 
 def tumbling_time_stream(events: DataFrame, settings: Settings, value: str, ts: str, key: str, order: str, message_id: str | None = None, idle_timeout_ms: int = 0) -> DataFrame:
-    """Closed windows, late events and overflow errors of a stream.  With an
+    """Closed windows, late events and overflow errors of a stream.  ``order`` is the
+    arrival order, which each micro-batch's events of a key are put in.  With an
     idle timeout a key's open window closes after that processing time."""
     rows = events.select(F.col(key).cast("string").alias("key"), micros(events, ts).alias("us"), F.col(value).cast("double").alias("v"), (F.col(message_id).cast("string") if message_id else F.lit("")).alias("m"), F.col(order).alias("o"))
     names = [c.split()[0] for c in OUT.split(", ")]
@@ -35,7 +36,7 @@ def tumbling_time_stream(events: DataFrame, settings: Settings, value: str, ts:
                 r = w.close(w.watermark)
                 out.append((k[0], "closed", r["value"], r["count"], r["window_start"], r["closed_at"], r["late_count"], r["dropped_count"]))
         else:
-            pdf = pd.concat(list(batches)).sort_values(["us", "o"], kind="stable")
+            pdf = pd.concat(list(batches)).sort_values("o", kind="stable")
             for us, v, m in zip(pdf.us.tolist(), pdf.v.tolist(), pdf.m.tolist()):
                 if hit := w.add(us, v, m):
                     kind, r = hit
@@ -53,11 +54,12 @@ def tumbling_time_stream(events: DataFrame, settings: Settings, value: str, ts:
 JOIN_OUT = "join_key string, kind string, created_us long, fired_us long, messages string, missing_topics array<string>"
 
 
-def keyed_join_stream(events: DataFrame, topics: list[str], topic: str, key: str, ts: str, payload: str, window_ms: int) -> DataFrame:
+def keyed_join_stream(events: DataFrame, topics: list[str], topic: str, key: str, ts: str, payload: str, window_ms: int, order: str | None = None) -> DataFrame:
     """The N-way last-write-wins join of a stream by event time; a key's cycle
     that has timed out is emitted when the key is next seen, or after
-    ``window_ms`` of processing time without one."""
-    rows = events.where(F.col(topic).isin(topics)).select(F.col(key).cast("string").alias("join_key"), micros(events, ts).alias("us"), F.col(topic).alias("t"), F.col(payload).cast("string").alias("p"))
+    ``window_ms`` of processing time without one.  ``order`` is the arrival order
+    within a micro-batch; without it events go by time."""
+    rows = events.where(F.col(topic).isin(topics)).select(F.col(key).cast("string").alias("join_key"), micros(events, ts).alias("us"), F.col(topic).alias("t"), F.col(payload).cast("string").alias("p"), (F.col(order) if order else F.lit(0)).alias("o"))
 
     def step(k, batches, state: GroupState):
         slots, created, out = {}, None, []
@@ -73,7 +75,7 @@ def keyed_join_stream(events: DataFrame, topics: list[str], topic: str, key: str
             if slots:
                 expire()
         else:
-            pdf = pd.concat(list(batches)).sort_values(["us", "t"], kind="stable")
+            pdf = pd.concat(list(batches)).sort_values("o" if order else ["us", "t"], kind="stable")
             for us, t, p in zip(pdf.us.tolist(), pdf.t.tolist(), pdf.p.tolist()):
                 if slots and us - created >= window_ms * 1000:
                     expire()

@@ -5,14 +5,17 @@ import json
 import zipfile
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from rivulet.functions import signing
 from rivulet.functions import text as text_functions
-from rivulet.operators import chunks, models, predicates, rules, schemas, shaping, vectors, windows
+from rivulet.functions.scalar import REGISTRY as fn
+from rivulet.operators import chunks, index, models, predicates, rules, schemas, shaping, vectors, windows
 from rivulet.operators.predicates import Predicate
 from rivulet.sources import files
+from rivulet.sources.tables import decode_json, kafka_options, send_rows
 from rivulet.streaming.windows import dedup_stream, fire
 
 S = 1_000_000
@@ -221,3 +224,51 @@ def test_handlers_and_stream_dedup(spark, tmp_path):
     assert {r.n for r in spark.table("firsts").collect()} == want == {0, 1, 2, 3, 8, 9, 10, 11, 16, 17, 18, 19}
     few = windows.dedup_ttl(rows, "id", "ts", 8000, ["n"], max_entries=2)
     assert few.count() > len(want)
+
+
+def test_index(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    centres = rng.standard_normal((20, 16))
+    x = centres[rng.integers(0, 20, 1500)] + 0.3 * rng.standard_normal((1500, 16))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(9000, None), (9001, [1.0])], "id long, vector array<double>")
+    for metric in index.METRICS:
+        path = str(tmp_path / metric)
+        index.build(df, path, 16, metric=metric)
+        q = (centres[3] + 0.1).tolist()
+        exact = [r.id for r in vectors.vector_search(df.where("size(vector) = 16"), q, 10, metric=metric).collect()]
+        assert [r.id for r in index.search(spark, path, q, 10, 16).collect()] == exact
+        few = index.search(spark, path, q, 10, 4)
+        assert len({r.id for r in few.collect()} & set(exact)) >= 9 and "PartitionFilters: [__cell" in plan(few).replace("PartitionFilters: [isnotnull(__cell", "PartitionFilters: [__cell")
+    index.build(df.limit(0), str(tmp_path / "none"))
+
+
+def test_dates_in_any_zone(spark):
+    def seen():
+        t = F.lit("2024-03-30T23:30:00Z")
+        return spark.range(1).select(*[c.alias(f"c{i}") for i, c in enumerate([fn["datetime.startOfDay"](t), fn["datetime.quarter"](F.lit("2024-04-01")), fn["datetime.fromEpoch"](F.lit(1711841400000)), fn["datetime.addBusinessDays"](t, 1), fn["datetime.toEpoch"](F.lit("2024-03-30 23:30:00")), fn["datetime.isBefore"](F.lit("2024-03-30"), t)])]).first()
+
+    want, zone = seen(), spark.conf.get("spark.sql.session.timeZone")
+    assert want[:4] == ("2024-03-30T00:00:00Z", 2, "2024-03-30T23:30:00Z", "2024-04-01T23:30:00Z") and want[4:] == (1711841400000, True)
+    try:
+        for z in ("America/New_York", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            assert seen() == want, z
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_source_options_and_sinks(spark, tmp_path):
+    assert kafka_options("h:9092", ["a", "b"], "g", True, 10, "sticky")["kafka.partition.assignment.strategy"].endswith("StickyAssignor")
+    with pytest.raises(ValueError):
+        kafka_options("h", [" "])
+    messages = spark.createDataFrame([('{"a": 1}',), ("{oops",)], "value string")
+    with pytest.raises(Exception, match="malformed"):
+        decode_json(messages, "a int", on_error="retry")[0].collect()
+    out = str(tmp_path)
+
+    def keep(rows):
+        with open(f"{out}/{rows[0]['n']}", "w") as f:
+            f.write(json.dumps(rows))
+
+    send_rows(spark.range(5).selectExpr("id as n", "'x' as s").coalesce(1), keep)
+    assert json.loads(open(f"{out}/0").read())[4] == {"n": 4, "s": "x"}
