@@ -12,9 +12,11 @@ the difference of neighbouring histograms stands out from those before it.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import struct
 import zlib
+from collections import deque
 from functools import lru_cache
 
 import numpy as np
@@ -248,18 +250,24 @@ def shots(samples: np.ndarray, fps: float, bins: int = 16, window: int = 8, fact
 
     A clip begins where the histogram difference (half the L1 distance, 0 to 1)
     is at least ``least`` and over the mean of the ``window`` differences before
-    by ``factor`` standard deviations.  ``peak``: the difference at its start.
+    by ``factor`` standard deviations; before the first one both are 0.  A cut is
+    left out of that window, so that it hides no later one, unless the frame
+    before began a clip too.  ``peak``: the difference at its start.
     """
     n, size = samples.shape
     hist = np.bincount(((samples >> 4).astype(np.int64) + bins * np.arange(n)[:, None]).ravel(), minlength=bins * n).reshape(n, bins) / size
     diff = np.abs(np.diff(hist, axis=0)).sum(axis=1) / 2
-    total, square = np.concatenate([[0], diff.cumsum()]), np.concatenate([[0], (diff**2).cumsum()])
-    i = np.arange(len(diff))
-    lo = np.maximum(0, i - window)
-    seen = np.maximum(1, i - lo)
-    mean = (total[i] - total[lo]) / seen
-    dev = np.sqrt(np.maximum(0, (square[i] - square[lo]) / seen - mean**2))
-    cuts = [0, *(1 + np.flatnonzero((diff >= least) & (diff > mean + factor * dev) & (i > 0))).tolist()]
+    cuts, held, last = [0], deque(maxlen=window), False
+    for i, d in enumerate(diff.tolist()):
+        cut = False
+        if d >= least:
+            mean = sum(held) / max(1, len(held))
+            cut = d > mean + factor * math.sqrt(sum((x - mean) ** 2 for x in held) / max(1, len(held)))
+        if cut:
+            cuts.append(i + 1)
+        if not cut or last:
+            held.append(d)
+        last = cut
     return [(a, b - a, a / fps, b / fps, round(float(diff[a - 1]), 6) if a else 0.0) for a, b in zip(cuts, [*cuts[1:], n])]
 
 

@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from rivulet.llm import chat, embeddings, language, mixing, quality, sharding, simhash
+from rivulet.llm import chat, embeddings, language, media, mixing, quality, sharding, simhash
 from rivulet.llm.scratch import Scratch, shared_folder
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -197,3 +197,16 @@ def test_scratch(spark, tmp_path):
     assert b.count() == 4
     with pytest.raises(Exception):
         a.count()
+
+
+def test_every_hard_cut_is_found():
+    """Equal cuts near the start and close to one another; lasting noise is no cut."""
+    flat = lambda v, n: np.full((n, 192), v, np.uint8)
+    film = np.concatenate([flat(40, 1), flat(220, 3), flat(40, 2), flat(220, 3), flat(90, 9)])
+    assert [(c[0], c[1]) for c in media.shots(film, 25)] == [(0, 1), (1, 3), (4, 2), (6, 3), (9, 9)]
+    noise = np.concatenate([flat(40 if i % 2 else 220, 1) for i in range(40)])
+    assert len(media.shots(noise, 25)) <= 3
+    rng = np.random.default_rng(1)
+    slow = rng.normal(120, 40, (60, 192)).clip(0, 255).astype(np.uint8)
+    assert len(media.shots(slow, 25)) <= 4
+    assert media.shots(flat(1, 1), 25) == [(0, 1, 0.0, 1 / 25, 0.0)]
