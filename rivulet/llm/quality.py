@@ -13,6 +13,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +28,7 @@ PRIOR_SHARE, PRIOR_ROWS = 0.1, 1000
 LABELLERS = ("symbols", "shouting", "tables", "sentences", "word_length", "repetition")
 CACHE = 200_000
 SPAN = 400  # words in which repetition is counted, one stretch after the other
+SHRINKS = 6  # a longer text that compresses so much repeats whole passages (prose: two to three times)
 
 
 def _vote(good: bool, bad: bool) -> int:
@@ -48,13 +50,17 @@ def votes(text: str | None, words: list[str] | None = None) -> list[int]:
     per_sentence = n / max(1, ends)
     mean = letters / n
     unique = sum(len({*words[i : i + SPAN]}) for i in range(0, n, SPAN)) / n
+    again = unique < 0.2
+    if n > SPAN and not again:  # whole passages may come again, stretches apart
+        raw = text.encode("utf-8", "surrogatepass")
+        again = len(raw) > SHRINKS * len(zstandard.compress(raw, 1))
     return [
         _vote(False, symbols > 0.05),
         _vote(False, upper > 0.3),
         _vote(False, bars > 0.2),
         _vote(3 <= per_sentence <= 40, per_sentence > 80 or ends > n),
         _vote(2.5 <= mean <= 12, mean < 2 or mean > 18),
-        _vote(False, unique < 0.2),
+        _vote(False, again),
     ]
 
 

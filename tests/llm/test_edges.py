@@ -210,3 +210,10 @@ def test_every_hard_cut_is_found():
     slow = rng.normal(120, 40, (60, 192)).clip(0, 255).astype(np.uint8)
     assert len(media.shots(slow, 25)) <= 4
     assert media.shots(flat(1, 1), 25) == [(0, 1, 0.0, 1 / 25, 0.0)]
+
+
+def test_repeated_passages_are_seen():
+    rng = random.Random(6)
+    passage = " ".join(f"{rng.choice(WORDS)}{rng.randrange(900)}" for _ in range(450))
+    assert quality.votes(" ".join([passage] * 8))[-1] == -1 and quality.votes(passage)[-1] == 0
+    assert quality.votes(" ".join(f"{rng.choice(WORDS)}{rng.randrange(900)}" for _ in range(5000)))[-1] == 0
