@@ -218,8 +218,8 @@ def test_handlers_and_stream_dedup(spark, tmp_path):
     rows = spark.createDataFrame([(i, f"id{i % 4}", f"2024-01-01 00:00:{i:02}") for i in range(20)], "n int, id string, t string").withColumn("ts", F.col("t").cast("timestamp_ntz")).drop("t")
     rows.coalesce(1).write.parquet(str(tmp_path / "in"))
     stream = dedup_stream(spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in")), "id", "ts", 8000, "n")
-    q = stream.writeStream.format("memory").queryName("firsts").option("checkpointLocation", str(tmp_path / "c")).start()
-    q.processAllAvailable()
+    q = stream.writeStream.format("memory").queryName("firsts").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    q.awaitTermination(60)  # state timeouts keep it alive
     q.stop()
     want = {r.n for r in windows.dedup_ttl(rows, "id", "ts", 8000, ["n"]).collect()}
     assert {r.n for r in spark.table("firsts").collect()} == want == {0, 1, 2, 3, 8, 9, 10, 11, 16, 17, 18, 19}
