@@ -2,10 +2,11 @@
 
 Vectors are dealt to shards by hash; each shard builds one layered graph; every
 vector queries every shard.  A query's beam doubles as long as it ends full of
-neighbours over the threshold, and a task's starting beam doubles until a
-recall audit against brute force passes, each probe counting alike; a block
-whose beams would cost more than brute force is compared by it.  Cosines are
-verified in double precision.  A task returns counts and spanning edges of the links it found, not
+neighbours over the threshold, up to ``DENSE``; members of larger groups, whose
+links are many in any case, are then compared with the whole shard.  A task's
+starting beam doubles until a recall audit against brute force passes, each
+probe counting alike; a block whose beams would cost more than brute force is
+compared by it.  Cosines are verified in double precision.  A task returns counts and spanning edges of the links it found, not
 the links, so a dense group costs its size.
 """
 
@@ -25,6 +26,8 @@ MIN_SHARDS, SHARD_ROWS, SHARD_BYTES = 4, 128_000, 64 << 20  # as many shards as
 BLOCK = 2048  # queries of a task's block
 BLOCKS = 8  # blocks, at most, that share one copy of a graph; fewer where their vectors exceed SHARD_BYTES
 DEGREE, BUILD_BEAM, BEAM = 16, 64, 16
+DENSE = 128  # a beam this wide and full of links: the query is compared with all
+STEP = 1 << 22  # cosines of a comparison held at once
 SLOTS = 1 << 13  # of a query's table of visited nodes
 AUDIT, RECALL = 64, 0.99
 SLACK = 1e-5  # of single against double precision
@@ -92,24 +95,26 @@ class Graph:
     def search(self, q: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         return self.beam(0, q, self.descend(q, 0), width)
 
-    def at_least(self, q: np.ndarray, least: float, width: int):
-        """(query, id) arrays of all found at ``least`` cosine; beams double while they end full of such."""
-        todo, out = np.arange(len(q)), []
-        while len(todo):
+    def at_least(self, q: np.ndarray, least: float, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, id) arrays of all found at ``least`` cosine, and the queries left out.
+
+        Beams double while they end full of such, up to ``DENSE``; queries with
+        more neighbours than that are left to a comparison with all."""
+        todo, out = np.arange(len(q)), [np.empty((2, 0), int)]
+        most = max(width, DENSE)
+        while len(todo) and width <= most and width < len(self.x):
             again = []
             for i in range(0, len(todo), 256):
                 part = todo[i : i + 256]
-                ids, sims = self.search(q[part], min(width, len(self.x)))
+                ids, sims = self.search(q[part], width)
                 hit = sims >= least
-                full = hit.all(axis=1) & (width < len(self.x))
+                full = hit.all(axis=1)
                 again.append(part[full])
                 hit[full] = False
                 r, c = np.nonzero(hit)
-                out.append((part[r], ids[r, c]))
+                out.append(np.unique(np.stack([part[r], ids[r, c]]), axis=1))
             todo, width = np.concatenate(again), 2 * width
-        if not out:
-            return np.empty(0, int), np.empty(0, int)
-        return tuple(np.unique(np.concatenate([np.stack(x) for x in out], axis=1), axis=1))
+        return *np.concatenate(out, axis=1), todo
 
 
 def varied(x: np.ndarray, node: np.ndarray, ids: np.ndarray, keep: int) -> np.ndarray:
@@ -204,11 +209,31 @@ def even(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def brute(x: np.ndarray, q: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """(query, id) arrays of all at ``least`` cosine."""
-    step = max(1, (1 << 24) // len(x))
-    hits = [np.nonzero(q[i : i + step] @ x.T >= least) for i in range(0, len(q), step)]
-    return np.concatenate([r + i * step for i, (r, _) in enumerate(hits)]), np.concatenate([c for _, c in hits])
+def compare(gx: np.ndarray, gid: np.ndarray, gn: np.ndarray, q: np.ndarray, qid: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Queries with all vectors: (links of each query, edges (a, b) that span
+    what was found).  Holds ``STEP`` cosines at a time and no list of links."""
+    links, own = np.zeros(len(q), np.int64), [np.empty((0, 2), np.int64)]
+    group = names = np.arange(len(gx))  # of each vector, named by its first
+    norm_q, norm_x, weight = np.sqrt((q * q).sum(axis=1)), np.sqrt((gx * gx).sum(axis=1)), gn.astype(np.float64)
+    step = max(1, STEP // len(gx))
+    for i in range(0, len(q), step):
+        s = slice(i, i + step)
+        near = (q[s] @ gx.T) / (norm_q[s, None] * norm_x) >= least
+        near &= qid[s, None] != gid
+        links[s] = near @ weight
+        for me, row in zip(qid[s], near):
+            at = np.flatnonzero(row)
+            if not len(at):
+                continue
+            own.append(np.array([[me, gid[at[0]]]]))
+            met = group[at]
+            head = met.min()
+            if met.max() != head:
+                to = names.copy()
+                to[met] = head
+                group = to[group]
+    tied = np.flatnonzero(group != names)
+    return links, np.concatenate([*own, np.stack([gid[tied], gid[group[tied]]], axis=1)])
 
 
 def query_block(g: Graph, gx: np.ndarray, gid: np.ndarray, gn: np.ndarray, q: np.ndarray, qid: np.ndarray, least: float):
@@ -226,14 +251,15 @@ def query_block(g: Graph, gx: np.ndarray, gid: np.ndarray, gn: np.ndarray, q: np
     wanted = near.sum(axis=1)
     asked = wanted > 0
     while width * 2 * DEGREE < len(g.x):
-        r, c = g.at_least(probe, least, width)
+        r, c, dense = g.at_least(probe, least, width)
         found = np.bincount(r, weights=near[r, c], minlength=len(probe))
+        found[dense] = wanted[dense]
         if not asked.any() or (found[asked] / wanted[asked]).mean() >= RECALL:
-            a, b = g.at_least(single, least - SLACK, width)
+            a, b, dense = g.at_least(single, least - SLACK, width)
             break
         width *= 2
     else:
-        a, b = brute(g.x, single, least - SLACK)
+        a, b, dense = np.empty(0, int), np.empty(0, int), np.arange(len(q))
     norm_q, norm_x = np.sqrt((q * q).sum(axis=1)), np.sqrt((gx * gx).sum(axis=1))
     keep = np.zeros(len(a), bool)
     for i in range(0, len(a), 1 << 16):
@@ -243,7 +269,8 @@ def query_block(g: Graph, gx: np.ndarray, gid: np.ndarray, gn: np.ndarray, q: np
     own = qid[a] == gid[b]
     a, b = a[~own], b[~own]
     links = np.bincount(a, weights=gn[b], minlength=len(q)).astype(np.int64)
-    return links, span(qid[a], gid[b])
+    links[dense], edges = compare(gx, gid, gn, q[dense], qid[dense], least)
+    return links, np.concatenate([span(qid[a], gid[b]), edges])
 
 
 def span(a: np.ndarray, b: np.ndarray) -> np.ndarray:

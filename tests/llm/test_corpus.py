@@ -345,6 +345,38 @@ def test_audit_counts_each_probe():
     assert {(a, b) for a, b in edges.tolist() if a >= 1200} >= {(i + 1, i) for i in range(1200, 1800, 2)}
 
 
+def test_embeddings_large_group(monkeypatch):
+    """A third of the rows link with one another, far beyond a beam of DENSE."""
+    monkeypatch.setattr(embeddings, "STEP", 10_000)
+    rng = np.random.default_rng(6)
+    centre = rng.standard_normal(32)
+    x = rng.permutation(np.concatenate([centre + 0.2 * rng.standard_normal((1100, 32)), rng.standard_normal((2200, 32))]))
+    u = embeddings.unit(x)
+    ids, copies = np.arange(3300) * 3 + 1, rng.integers(1, 4, 3300)
+    near = u @ u.T >= 0.9
+    np.fill_diagonal(near, False)
+    assert near.sum(axis=1).max() > 2 * embeddings.DENSE
+    graph = embeddings.build(u.astype(np.float32))
+    some = np.arange(0, 3300, 7)
+    links, edges = embeddings.query_block(graph, x, ids, copies, x[some], ids[some], 0.9)
+    assert links.tolist() == (near[some] @ copies).tolist()
+    root = {int(i): int(i) for i in ids}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in edges.tolist():
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    for k in some:  # every link of a query lies within one component
+        assert {find(int(i)) for i in ids[near[k]]} <= {find(int(ids[k]))}
+    assert len(edges) < 2 * len(ids)  # spanning edges, not links
+    loners = ids[~near.any(axis=1)]
+    assert all(find(int(i)) == i for i in loners)
+
+
 def test_lines(spark, docs, none, rows):
     rng = random.Random(6)
     line = lambda n=12: " ".join(f"{rng.choice(WORDS)}{rng.randrange(10**6)}" for _ in range(n))
