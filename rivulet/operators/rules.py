@@ -228,7 +228,7 @@ def as_json(content: Column, kind: str) -> Column:
 
 def key_values(content: Column) -> Column:
     """map of ``key=value`` lines; blank lines and # comments are skipped; the last of a key wins."""
-    rows = F.filter(F.transform(F.split(content, r"\r?\n"), F.trim), lambda x: x.contains("=") & ~x.startswith("#"))
+    rows = F.filter(F.transform(F.split(content, r"\r?\n"), lambda x: F.trim(x)), lambda x: x.contains("=") & ~x.startswith("#"))
     pairs = F.transform(rows, lambda x: F.struct(F.trim(F.substring_index(x, "=", 1)).alias("k"), F.trim(F.substring(x, F.instr(x, "=") + 1, F.length(x))).alias("v")))
     last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q.k == p.k))
     return F.map_from_entries(last)

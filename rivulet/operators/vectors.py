@@ -210,7 +210,7 @@ def upsert(base: DataFrame, changes: DataFrame, id_col: str, seq: str) -> DataFr
 def delete(df: DataFrame, id_col: str, ids: list | None = None, filters: dict | None = None) -> DataFrame:
     """What is left.  Ids take precedence; no ids and no filter delete nothing."""
     if ids:
-        return df.where(~F.col(id_col).isin(ids))
+        return df.where(~F.coalesce(F.col(id_col).isin(ids), F.lit(False)))  # a null id is none of them
     return df.where(~F.coalesce(metadata_filter(filters, dict(df.dtypes)), F.lit(False))) if filters else df
 
 

@@ -13,7 +13,7 @@ from ..functions import text as _text  # noqa: F401  registers text functions
 from ..functions.scalar import REGISTRY as fn
 from ..operators import changes, chunks, joins, models, predicates, rules, shaping, vectors, windows
 from ..operators.predicates import Predicate, Route
-from ..sources.tables import table
+from ..sources.tables import decode_json, table
 
 ORDER = ["ts", "event_id"]
 _queries: dict = {}
@@ -587,6 +587,110 @@ def rules_report(spark, d):
     return rules.report(table(spark, d, "events"), _findings(spark, d), "event_id")
 
 
+MATCHES = [
+    {"id": "any", "severity": "INFO", "match": {"type": "contains_any", "path": "type", "values": ["lic", "urch"]}},
+    {"id": "lack", "severity": "INFO", "match": {"type": "not_contains", "path": "type", "value": "i"}},
+    {"id": "named", "severity": "INFO", "match": {"type": "regex_not_match", "path": "type", "pattern": "^[a-m]", "requires_contains": "I"}},
+    {"id": "none", "severity": "INFO", "match": {"type": "all_missing", "paths": ["odd", "note"]}},
+    {"id": "few", "severity": "INFO", "match": {"type": "less_than", "path": "user", "value": 20}},
+    {"id": "twice", "severity": "INFO", "match": {"type": "duplicate_values", "path": "list"}},
+    {"id": "long", "severity": "INFO", "match": {"type": "count_exceeds", "path": "list", "value": 2}},
+    {"id": "clean", "severity": "INFO", "match": {"type": "none_contain", "path": "head", "keys": ["authorization"]}},
+    {"id": "secret", "severity": "INFO", "match": {"type": "credential_header_literal", "path": "head"}},
+    {"id": "item", "severity": "INFO", "scope": "list", "message": "{{.}}", "match": {"type": "equals", "value": "3"}},
+    {"id": "not", "severity": "INFO", "match": {"type": "none_of", "conditions": [{"type": "contains", "path": "type", "value": "e"}, {"type": "exists", "path": "odd"}]}},
+]
+
+
+@query("""WITH e AS (SELECT event_id, user_id AS u, event_type AS t, event_id % 2 = 1 AS odd FROM events)
+ SELECT event_id, 'any' AS rule_id FROM e WHERE contains(t, 'lic') OR contains(t, 'urch') UNION ALL SELECT event_id, 'lack' FROM e WHERE NOT contains(t, 'i')
+ UNION ALL SELECT event_id, 'named' FROM e WHERE contains(lower(t), 'i') AND NOT regexp_matches(t, '^[a-m]') UNION ALL SELECT event_id, 'none' FROM e WHERE NOT odd
+ UNION ALL SELECT event_id, 'few' FROM e WHERE u < 20 UNION ALL SELECT event_id, 'twice' FROM e WHERE u % 4 = event_id % 5 OR event_id % 5 = 3 OR u % 4 = 3
+ UNION ALL SELECT event_id, 'long' FROM e UNION ALL SELECT event_id, 'clean' FROM e WHERE odd UNION ALL SELECT event_id, 'secret' FROM e WHERE NOT odd AND u % 3 > 0
+ UNION ALL SELECT event_id, 'item' FROM e WHERE u % 4 = 3 UNION ALL SELECT event_id, 'item' FROM e WHERE event_id % 5 = 3 UNION ALL SELECT event_id, 'item' FROM e
+ UNION ALL SELECT event_id, 'not' FROM e WHERE NOT contains(t, 'e') AND NOT odd""")
+def rules_match_types(spark, d):
+    odd = F.col("event_id") % 2 == 1
+    token = F.when(F.col("user_id") % 3 == 0, "=$property").otherwise("Bearer x")
+    head = F.when(odd, F.create_map(F.lit("Accept"), F.lit("*"))).otherwise(F.create_map(F.lit("Authorization"), token))
+    doc = F.to_json(F.struct(F.col("event_type").alias("type"), F.col("user_id").alias("user"), F.when(odd, 1).alias("odd"), F.array(F.col("user_id") % 4, F.col("event_id") % 5, F.lit(3)).alias("list"), head.alias("head")))
+    return rules.evaluate(table(spark, d, "events").select("event_id", doc.alias("doc")), MATCHES, "event_id", "doc").select("event_id", "rule_id")
+
+
+@query("""SELECT c_custkey, 'name=' || c_name || ';balance=' || c_custkey || ';' AS held, 2::INTEGER AS size FROM customer""")
+def rules_key_values(spark, d):
+    text = F.concat(F.lit("# a note\n\nbalance = none\nname="), "c_name", F.lit("\r\nbalance= "), F.col("c_custkey").cast("string"))
+    c = table(spark, d, "customer").select("c_custkey", rules.key_values(text).alias("m"))
+    return c.select("c_custkey", F.concat(F.lit("name="), F.col("m.name"), F.lit(";balance="), F.col("m.balance"), F.lit(";")).alias("held"), F.size("m").alias("size"))
+
+
+@query("SELECT doc_id, n AS line_no, line FROM (SELECT doc_id, unnest(string_split_regex(text, '\\r?\\n')) AS line, generate_subscripts(string_split_regex(text, '\\r?\\n'), 1)::INTEGER AS n FROM documents WHERE text IS NOT NULL)".replace("\\\\", "\\"))
+def rules_document_lines(spark, d):
+    return rules.document_lines(table(spark, d, "documents"), "doc_id", "text")
+
+
+@query("""SELECT c_custkey, '{"host.name":"h1","name":"' || c_name || '","service.name":"' || c_mktsegment || '"}' AS line FROM customer WHERE c_custkey % 2 = 0
+ UNION ALL SELECT c_custkey, '{"host.name":"h1","name":"' || c_name || '","service.name":"shop"}' FROM customer WHERE c_custkey % 2 = 1""")
+def log_ecs_json(spark, d):
+    held = F.create_map(F.lit("name"), F.col("c_name"), F.lit("service.name"), F.col("c_mktsegment"))
+    m = F.when(F.col("c_custkey") % 2 == 0, held).otherwise(F.map_filter(held, lambda k, _: k == "name"))
+    return table(spark, d, "customer").select("c_custkey", shaping.json_line(shaping.ecs(m, "shop", "h1")).alias("line"))
+
+
+@query("SELECT p_partkey, 'a' || p_size || ',name' AS used FROM part")
+def template_variables(spark, d):
+    size = F.col("p_size").cast("string")
+    text = F.concat(F.lit("{{a"), size, F.lit("}} and {{ .name }}, {{.a"), size, F.lit("}} {{name}}"))
+    return table(spark, d, "part").select("p_partkey", F.array_join(shaping.used_variables(text), ",").alias("used"))
+
+
+@query("SELECT event_id, user_id AS user, event_type AS kind, TRUE AS good FROM events WHERE event_id % 5 > 0 UNION ALL SELECT event_id, NULL, NULL, FALSE FROM events WHERE event_id % 5 = 0")
+def json_decode_quarantine(spark, d):
+    message = F.when(F.col("event_id") % 5 > 0, F.to_json(F.struct(F.col("user_id").alias("user"), F.col("event_type").alias("kind")))).otherwise(F.concat(F.lit('{"user": '), "event_type"))
+    good, bad = decode_json(table(spark, d, "events").select("event_id", message.alias("value")), "user bigint, kind string")
+    return good.withColumn("good", F.lit(True)).unionByName(bad.select("event_id").withColumn("good", F.lit(False)), allowMissingColumns=True)
+
+
+@query("SELECT o_orderkey::VARCHAR AS event_id, 'UPDATE' AS event_type, o_orderstatus AS status, o_orderpriority AS was FROM orders WHERE o_orderkey % 4 > 0 UNION ALL SELECT NULL, 'bad', NULL, NULL FROM orders WHERE o_orderkey % 4 = 0")
+def cdc_decode(spark, d):
+    sent = F.to_json(F.struct(F.col("o_orderkey").cast("string").alias("event_id"), F.lit("UPDATE").alias("event_type"), F.create_map(F.lit("status"), "o_orderstatus").alias("data"), F.create_map(F.lit("status"), "o_orderpriority").alias("old_data")))
+    payload = F.when(F.col("o_orderkey") % 4 > 0, sent).otherwise(F.lit("{"))
+    good, bad = changes.decode(table(spark, d, "orders").select(payload.alias("value")), "value")
+    told = good.select("event_id", "event_type", F.col("data.status").alias("status"), F.col("old_data.status").alias("was"))
+    return told.unionByName(bad.select(F.lit("bad").alias("event_type")), allowMissingColumns=True)
+
+
+@query("""SELECT event_id, unnest(CASE WHEN value > 80 THEN ['high', 'rest', 'evalError'] ELSE ['rest', 'evalError'] END) AS route FROM events""")
+def split_eval_error(spark, d):
+    routes = [Route("broken", (Predicate("event_type", "gt", "1"),)), Route("high", (Predicate("value", "gt", "80"),), priority=1), Route("rest", priority=2)]
+    return predicates.split(table(spark, d, "events"), routes, first_match=False).select("event_id", "route")
+
+
+@query("SELECT event_id, TRUE AS empty FROM events UNION ALL SELECT event_id, FALSE FROM events WHERE event_id % 3 = 0 OR value > 60")
+def filter_empty_and_missing(spark, d):
+    e = table(spark, d, "events").withColumn("maybe", F.when(F.col("event_id") % 3 > 0, F.col("value")))
+    lenient = predicates.filter_rows(e, [Predicate("maybe", "gt", "60")], pass_missing=True)
+    return predicates.filter_rows(e, []).select("event_id", F.lit(True).alias("empty")).unionByName(lenient.select("event_id", F.lit(False).alias("empty")))
+
+
+@query("SELECT o_orderkey, o_orderdate > TIMESTAMP '1996-01-01' AS late, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS again FROM orders")
+def fn_datetime_epoch(spark, d):
+    text = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return table(spark, d, "orders").select("o_orderkey", fn["datetime.isAfter"](text, F.lit("1996-01-01T00:00:00Z")).alias("late"), fn["datetime.fromEpoch"](fn["datetime.toEpoch"](text)).alias("again"))
+
+
+def _context(style, shape, between="chr(10) || chr(10)"):
+    @query(f"""SELECT string_agg({shape}, {between} ORDER BY r) AS context FROM (SELECT *, row_number() OVER (ORDER BY score DESC, vec_id) AS r FROM ({_FIVE}))""", f"rag_context_{style}")
+    def run(spark, d):
+        hits = vectors.vector_search(_vectors(spark, d).withColumn("content", F.concat(F.lit("label "), F.col("label").cast("string"))), QUERY, 5, "vec_id", "embedding")
+        return vectors.format_context(hits, style, "vec_id")
+
+
+_context("markdown", "'### Result ' || r || ' (score: ' || printf('%.4f', score) || ')' || chr(10) || chr(10) || content")
+_context("plain", "content")
+_context("xml", "'<document index=\"' || r || '\" score=\"' || printf('%.4f', score) || '\">' || chr(10) || content || chr(10) || '</document>'")
+
+
 @query("""SELECT p_partkey, 'user.name=' || p_name || '|user.kind=' || p_type || '|sizes=[' || p_size || ',' || p_size + 1 || ']|brand=' || p_brand AS line FROM part""")
 def log_flatten(spark, d):
     p = table(spark, d, "part").select("p_partkey", F.struct(F.col("p_name").alias("name"), F.col("p_type").alias("kind")).alias("user"), F.array("p_size", F.col("p_size") + 1).alias("sizes"), F.col("p_brand").alias("brand"))

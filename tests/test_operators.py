@@ -139,3 +139,9 @@ def test_vectors_and_collections(spark, tmp_path):
 def test_malformed_messages(spark):
     good, bad = decode_json(spark.createDataFrame([('{"a": 1}',), ("{oops",)], "value string"), "a int")
     assert [r.a for r in good.collect()] == [1] and bad.count() == 1
+
+
+def test_delete_keeps_null_ids_and_values_keep_their_digits(spark):
+    df = spark.createDataFrame([("a", 1), (None, 2), ("b", 3)], "id string, n int")
+    assert sorted(r.n for r in vectors.delete(df, "id", ["a"]).collect()) == [2, 3]
+    assert one(spark, rules.key_values(F.col("t")), t="x = 01\n b = 21 ") == {"x": "01", "b": "21"}
