@@ -1,13 +1,18 @@
-"""Embedding near-dedup by hierarchical navigable small-world graphs.
-
-Vectors are dealt to shards by hash; each shard builds one layered graph; every
-vector queries every shard.  A query's beam doubles as long as it ends full of
-neighbours over the threshold, up to ``DENSE``; members of larger groups, whose
-links are many in any case, are then compared with the whole shard.  A task's
-starting beam doubles until a recall audit against brute force passes, each
-probe counting alike; a block whose beams would cost more than brute force is
-compared by it.  Cosines are verified in double precision.  A task returns counts and spanning edges of the links it found, not
-the links, so a dense group costs its size.
+"""Embedding near-dedup by a hierarchical navigable small-world graph.
+
+A sample of the vectors, none within ``least`` of another, are pivots; one
+layered graph over them leads every vector to the pivots nearest to it, its
+cells.  Vectors that share a cell are compared: exactly, in double precision
+where single cannot tell.  A pair that shares several cells counts in its first.
+Two audits hold this against brute force, each probe counting alike: vectors
+bent to the threshold, and a sample of the rows against all rows.  Until both
+pass, beams widen and vectors go to more cells; then pivots get fewer, down to
+one cell that holds all.  Cells too large for a task are compared by pairs of
+fragments, and what is dealt out at a time is bounded, so that neither memory
+nor disk grows with a group or with the number of cells.  A task returns counts
+and spanning edges of the links it found, not the links.
+
+``query_block`` searches a single graph over all vectors of a shard.
 """
 
 from __future__ import annotations
@@ -15,21 +20,25 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
 from .scratch import Scratch
 
-MIN_SHARDS, SHARD_ROWS, SHARD_BYTES = 4, 128_000, 64 << 20  # as many shards as keep a graph's rows and vectors within these
-BLOCK = 2048  # queries of a task's block
-BLOCKS = 8  # blocks, at most, that share one copy of a graph; fewer where their vectors exceed SHARD_BYTES
+MIN_SHARDS, SHARD_ROWS, PIVOT_BYTES = 64, 2048, 64 << 20  # pivots: at least so many, one for so many vectors, as far as they fit
+REACH = ((16, 6), (24, 8), (32, 10), (32, 12), (48, 16), (64, 24), (128, 48))  # beam and cells of a vector, tried in turn
+FRAGMENT, FRAGMENT_BYTES = 1 << 15, 8 << 20  # vectors of a cell compared by one task, and their bytes
+SLICE = 1 << 30  # bytes dealt out at a time, or 1.5 times the table
 DEGREE, BUILD_BEAM, BEAM = 16, 64, 16
 DENSE = 128  # a beam this wide and full of links: the query is compared with all
 STEP = 1 << 22  # cosines of a comparison held at once
+HITS = 1 << 16  # candidate pairs looked at at once
+MANY = 0.03  # share of candidates from which full products cost less than single ones
 SLOTS = 1 << 13  # of a query's table of visited nodes
 AUDIT, RECALL = 64, 0.99
+PROBES = 256  # of each audit of the cells
 SLACK = 1e-5  # of single against double precision
 
 
@@ -289,6 +298,170 @@ def span(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.array([(x, r) for x in list(parent) if (r := find(x)) != x], np.int64).reshape(-1, 2)
 
 
+def vectors(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Lists of numbers as their bytes, and their lengths; null unless all are
+    there and finite, and one is not zero."""
+    size = np.diff(column.offsets.to_numpy()) * column.is_valid().to_numpy(zero_copy_only=False)
+    x = column.flatten().to_numpy(zero_copy_only=False) + 0.0  # one zero
+    start = np.concatenate([[0], np.cumsum(size)])
+    sound = size > 0
+    if sound.any():
+        at = start[:-1][sound]
+        sound[sound] = np.logical_and.reduceat(np.isfinite(x), at) & np.logical_or.reduceat(x != 0, at)
+    place = (start * x.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(column), [pa.array(sound).buffers()[1], pa.py_buffer(place), pa.py_buffer(x)]), size
+
+
+def matrix(column: pa.Array, exact: str) -> np.ndarray:
+    """Rows of one length, in double precision, of a size that can be squared."""
+    x = np.frombuffer(b"".join(column.to_pylist()), exact).astype(np.float64)
+    return even(x.reshape(len(column), -1))
+
+
+def lists(column: pa.Array) -> np.ndarray:
+    """Lists of cells as a table, -1 where a row has fewer."""
+    size = np.diff(column.offsets.to_numpy())
+    out = np.full((len(size), max(1, size.max(initial=0))), -1, np.int32)
+    out[np.arange(out.shape[1]) < size[:, None]] = column.flatten().to_numpy()
+    return out
+
+
+def apart(x: np.ndarray, least: float) -> np.ndarray:
+    """Indices of a greedy choice of rows, none at ``least`` to another: a dense
+    group has one pivot, whatever its size, and so one cell."""
+    kept = np.empty((0, x.shape[1]), x.dtype)
+    at = []
+    for i in range(0, len(x), 512):
+        part = np.arange(i, min(i + 512, len(x)))
+        if len(kept):
+            part = part[(x[part] @ kept.T).max(axis=1) < least]
+        near = x[part] @ x[part].T >= least
+        free = np.ones(len(part), bool)
+        for k in range(len(part)):
+            if free[k]:
+                free[k + 1 :] &= ~near[k, k + 1 :]
+        at.append(part[free])
+        kept = np.concatenate([kept, x[at[-1]]])
+    return np.concatenate(at)
+
+
+def route(g: Graph, q: np.ndarray, beam: int, most: int, least: float) -> np.ndarray:
+    """The pivots nearest to each query (n, most), -1 where fewer do.
+
+    A pivot further off than the nearest one by over twice the threshold's angle
+    is left out: no vector that links with the query can have it as its nearest."""
+    most = min(most, len(g.x))
+    out = np.full((len(q), most), -1, np.int32)
+    for i in range(0, len(q), 256):
+        ids, sims = g.search(q[i : i + 256], min(beam, len(g.x)))
+        order = np.argsort(ids, axis=1)
+        ids, sims = np.take_along_axis(ids, order, 1), np.take_along_axis(sims, order, 1)
+        sims[:, 1:][ids[:, 1:] == ids[:, :-1]] = -np.inf
+        order = np.argsort(-sims, axis=1)[:, :most]
+        ids, sims = np.take_along_axis(ids, order, 1), np.take_along_axis(sims, order, 1)
+        far = np.arccos(np.clip(sims, -1, 1))
+        out[i : i + 256] = np.where((sims > -np.inf) & (far <= far[:, :1] + 2 * math.acos(least) + 1e-3), ids, -1)
+    return out
+
+
+def bent(x: np.ndarray, cosine: float) -> np.ndarray:
+    """Each unit vector turned in a random direction, to this cosine with itself."""
+    noise = np.random.default_rng(11).standard_normal(x.shape).astype(np.float32)
+    noise = unit(noise - (noise * x).sum(axis=1, keepdims=True) * x) if x.shape[1] > 1 else 0 * noise
+    return unit(cosine * x + math.sqrt(max(0.0, 1 - cosine * cosine)) * noise).astype(np.float32)
+
+
+def shared(a: np.ndarray, b: np.ndarray, below: int | None = None) -> np.ndarray:
+    """Whether two lists of cells have one in common, and smaller than ``below``."""
+    there = a >= 0 if below is None else (a >= 0) & (a < below)
+    return ((a[:, :, None] == b[:, None, :]) & there[:, :, None]).any(axis=(1, 2))
+
+
+def candidates(x: np.ndarray, other: np.ndarray | None, least: float):
+    """Blocks of pairs (i, j, cosine), i of x and j of the other (or i < j of x), which hold
+    all of at least this cosine.
+
+    Cosines are first bounded from above by some components on the main axes of
+    x and the lengths of what is left, which takes a third of the products."""
+    n, d = x.shape
+    y = x if other is None else other
+    low_x = low_y = None
+    if d >= 24 and len(y) >= 4 * d:
+        axes = np.linalg.eigh(x[:: max(1, n // 4096)].T.astype(np.float64) @ x[:: max(1, n // 4096)])[1][:, -max(16, d // 3) :].astype(np.float32)
+
+        def low(v):
+            head = v @ axes
+            return np.concatenate([head, np.sqrt(np.maximum(0, 1 - (head * head).sum(axis=1, keepdims=True)) + np.float32(1e-6))], axis=1)
+
+        low_x = low(x)
+        low_y = low_x if other is None else low(y)
+    i = 0
+    while i < n:
+        first = i if other is None else 0
+        step = max(1, STEP // (len(y) - first))
+        whole = low_x is None
+        if not whole:
+            at = np.flatnonzero(low_x[i : i + step] @ low_y[first:].T >= least)
+            whole = len(at) > MANY * min(step, n - i) * (len(y) - first)
+        if whole:
+            near = x[i : i + step] @ y[first:].T
+            at = np.flatnonzero(near >= least)
+        r, c = np.divmod(at, len(y) - first)
+        if other is None:
+            ahead = c > r
+            at, r, c = at[ahead], r[ahead], c[ahead]
+        for k in range(0, len(at), HITS):
+            s = slice(k, k + HITS)
+            a, b = r[s] + i, c[s] + first
+            got = near.ravel()[at[s]] if whole else np.einsum("nd,nd->n", x[a], y[b])
+            ok = got >= least
+            yield a[ok], b[ok], got[ok]
+        i += step
+
+
+def meet(cell: int, side: np.ndarray, gid: np.ndarray, gn: np.ndarray, x: np.ndarray, cells: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(links of each vector, spanning edges) of the pairs of a cell, or of its
+    two fragments, that share no smaller cell."""
+    norm = np.sqrt((x * x).sum(axis=1))
+    single = (x / norm[:, None]).astype(np.float32)
+    slack = SLACK + 6e-8 * x.shape[1]
+    links, head = np.zeros(len(x), np.int64), np.arange(len(x))
+    if side.min() == side.max():
+        left = right = np.arange(len(x))
+    else:
+        left, right = np.flatnonzero(side == side.min()), np.flatnonzero(side == side.max())
+    for a, b, got in candidates(single[left], None if left is right else single[right], least - slack):
+        a, b = left[a], right[b]
+        ok = ~shared(cells[a], cells[b], cell)
+        close = np.flatnonzero(ok & (got < least + slack))
+        ok[close] = np.einsum("nd,nd->n", x[a[close]], x[b[close]]) / (norm[a[close]] * norm[b[close]]) >= least
+        a, b = a[ok], b[ok]
+        np.add.at(links, a, gn[b])
+        np.add.at(links, b, gn[a])
+        while (head[a] != head[b]).any():
+            p, q = head[a], head[b]
+            np.minimum.at(head, np.maximum(p, q), np.minimum(p, q))
+            while (head[head] != head).any():
+                head = head[head]
+    tied = np.flatnonzero(head != np.arange(len(x)))
+    return links, np.stack([gid[tied], gid[head[tied]]], axis=1)
+
+
+class Cells:
+    """The pivots' graphs of each length of vectors, and how a vector is led to its cells."""
+
+    def __init__(self, pivots: dict[int, np.ndarray], least: float, beam: int = 0, most: int = 0):
+        self.least, self.beam, self.most, self.first, self.graphs = least, beam, most, {}, {}
+        begin = 0
+        for d, x in sorted(pivots.items()):
+            self.graphs[d], self.first[d] = build(x), begin
+            begin += len(x)
+
+    def of(self, d: int, x: np.ndarray) -> np.ndarray:
+        ids = route(self.graphs[d], x, self.beam, self.most, self.least)
+        return np.where(ids < 0, -1, ids + self.first[d]).astype(np.int32)
+
+
 def embedding_components(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", least: float = 0.9, min_shards: int = MIN_SHARDS, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """One row per vector: ``vec_id, n_links, component_id, kept``.
 
@@ -298,64 +471,140 @@ def embedding_components(rows: DataFrame, vec_id: str = "vec_id", embedding: str
     do vectors of different lengths with one another; components of any finite
     size are compared.  Repeated ids are vectors
     of their own; null ids take part but are never the smallest (kept is null).
+    Of each length there are ``min_shards`` pivots at least, and one for ``shard_rows`` vectors.
     """
     spark = rows.sparkSession
     scratch = Scratch(spark, "hnsw")
-    v = rows.select(F.col(vec_id).alias("vec_id"), F.transform(F.col(embedding), lambda x: x.cast("double")).alias("v"))
-    sound = F.coalesce(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0), F.lit(False))
-    v = v.withColumn("v", F.when(sound, F.transform("v", lambda x: x + F.lit(0.0))))
+    single = dict(rows.dtypes)[embedding] == "array<float>"
+    exact = "<f4" if single else "<f8"  # holds the components as they came
+    given = rows.select(F.col(vec_id).alias("vec_id"), F.col(embedding).cast("array<float>" if single else "array<double>").alias("v"))
+    id_type = given.schema["vec_id"].dataType.simpleString()
+
+    def packed(batches):
+        for b in batches:
+            v, size = vectors(b.column(1))
+            yield pa.RecordBatch.from_arrays([b.column(0), v, pa.array(size, pa.int32())], names=["vec_id", "v", "dim"])
+
+    v = given.mapInArrow(packed, f"vec_id {id_type}, v binary, dim int")
     # 128 bits of hash stand for a vector where rows are grouped and joined
-    keyed = v.select("vec_id", "v", *[F.when(F.col("v").isNotNull(), F.xxhash64(F.lit(k), "v")).alias(f"k{k}") for k in (1, 2)])
+    keyed = v.select("vec_id", "v", "dim", *[F.when(F.col("v").isNotNull(), F.xxhash64(F.lit(k), "v")).alias(f"k{k}") for k in (1, 2)])
     v = scratch.cut(keyed.select("vec_id", "k1", "k2"), "rows")
-    classes = scratch.cut(keyed.where("v is not null").groupBy("k1", "k2").agg(F.first("v").alias("v"), F.count("*").alias("n"), F.min("vec_id").alias("rep")).select(F.monotonically_increasing_id().alias("node"), "*", F.size("v").alias("dim")).withColumn("h", F.xxhash64("node")), "classes")
+    classes = scratch.cut(keyed.where("v is not null").groupBy("k1", "k2").agg(F.first("v").alias("v"), F.first("dim").alias("dim"), F.count("*").alias("n"), F.min("vec_id").alias("rep")).select(F.monotonically_increasing_id().alias("node"), "*"), "classes")
     dims = {r.dim: r.n for r in classes.groupBy("dim").agg(F.count("*").alias("n")).collect()}
-    shards = {d: max(min_shards, -(-n // shard_rows), -(-n * d * 8 // SHARD_BYTES)) for d, n in dims.items()}
-    share = {d: max(1, min(BLOCKS, SHARD_BYTES // (BLOCK * d * 8))) for d in dims}  # blocks of a copy
-    groups = {d: -(-n // (BLOCK * share[d])) * share[d] for d, n in dims.items()}
     if not dims:
         return v.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    exact = "<f4" if dict(rows.dtypes)[embedding] == "array<float>" else "<f8"  # holds the components as they came
     by_dim = lambda m: F.element_at(F.create_map(*[F.lit(x) for kv in m.items() for x in kv]), F.col("dim"))
-
-    def pack(kind):
-        def packed(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values("node")
-            x = even(np.array(pdf.v.tolist(), np.float64))
-            row = {"dim": [int(pdf.dim.iloc[0])], kind: [int(pdf[kind].iloc[0])], "ids": [pdf.node.to_numpy(np.int64).tobytes()], "ns": [pdf.n.to_numpy(np.int64).tobytes()], "xs": [x.astype(exact).tobytes()]}
-            if kind == "shard":
-                g = build(unit(x).astype(np.float32))
-                row |= {"entry": [g.entry], "near": [[m.astype(np.int32).tobytes() for m in g.layers]]}
-            return pd.DataFrame(row)
-
-        return packed
-
-    base = "ids binary, ns binary, xs binary"
-    graphs = scratch.cut(classes.withColumn("shard", F.pmod("h", by_dim(shards)).cast("int")).groupBy("dim", "shard").applyInPandas(pack("shard"), f"dim int, shard int, {base}, entry int, near array<binary>"), "graphs")
-    blocks = scratch.cut(classes.withColumn("block", F.pmod(F.shiftright("h", 20), by_dim(groups)).cast("int")).groupBy("dim", "block").applyInPandas(pack("block"), f"dim int, block int, {base}"), "blocks")
-
-    def queried(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = [(0, 0, 0, 0)][:0]
-        for gr in left.itertuples():
-            gx = np.frombuffer(gr.xs, exact).astype(np.float64).reshape(-1, gr.dim)
-            near = [np.frombuffer(m, np.int32).reshape(len(gx), -1).astype(np.int64) for m in gr.near]
-            g = Graph(unit(gx).astype(np.float32), near, gr.entry)
-            gid, gn = np.frombuffer(gr.ids, np.int64), np.frombuffer(gr.ns, np.int64)
-            for bl in right.itertuples():
-                qid = np.frombuffer(bl.ids, np.int64)
-                links, edges = query_block(g, gx, gid, gn, np.frombuffer(bl.xs, exact).astype(np.float64).reshape(-1, bl.dim), qid, least)
-                out += [("n", a, 0, n) for a, n in zip(qid.tolist(), links.tolist()) if n]
-                out += [("e", a, b, 0) for a, b in edges.tolist()]
-        return pd.DataFrame(out, columns=["kind", "a", "b", "n"]).astype({"a": "int64", "b": "int64", "n": "int64"})
-
-    spread = lambda m, name: F.explode(F.sequence(F.lit(0), by_dim(m) - 1)).alias(name)
-    left = graphs.select("*", spread({d: groups[d] // share[d] for d in dims}, "part"))
-    right = blocks.select("*", F.floor(F.col("block") / by_dim(share)).cast("int").alias("part"), spread(shards, "shard"))
-    found = scratch.cut(left.groupBy("dim", "shard", "part").cogroup(right.groupBy("dim", "shard", "part")).applyInPandas(queried, "kind string, a long, b long, n long"), "found")
+    room = PIVOT_BYTES // len(dims)
+    every = {d: max(1, n // max(min_shards, min(n // shard_rows, room // (4 * d + 8 * DEGREE)))) for d, n in dims.items()}
+
+    routed = _routed(scratch, classes, dims, every, by_dim, exact, least, f"node long, k1 long, k2 long, v binary, dim int, n long, rep {id_type}")
+    scratch.drop(classes)
+    row_bytes = 64 + 4 * 12 + max(dims) * int(exact[-1])
+    most = max(1, min(FRAGMENT, FRAGMENT_BYTES // (4 * max(dims))))
+    parts = F.ceil(F.col("count") / most).cast("int")
+    sizes = scratch.cut(routed.select(F.explode("cells").alias("cell")).groupBy("cell").count(), "sizes")
+    dealt = sizes.agg(F.sum(F.col("count") * parts)).first()[0]
+    slices = max(1, -(-dealt * row_bytes // max(SLICE, 3 * sum(dims.values()) * row_bytes // 2)))
+    large = F.broadcast(sizes.where(F.col("count") > most).select("cell", parts.alias("parts")))
+    each = routed.select("node", "n", "v", "cells", F.explode("cells").alias("cell")).join(large, "cell", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    each = each.withColumn("side", F.pmod(F.xxhash64("node"), "parts").cast("int")).withColumn("to", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    each = each.select("cell", F.least("side", "to").alias("i"), F.greatest("side", "to").alias("j"), "side", "node", "n", "v", "cells")
+
+    def met(t: pa.Table) -> pa.Table:
+        kinds, a, b, n = [], [], [], []
+        t = t.combine_chunks()
+        side = t["side"].to_numpy()
+        if len(t) > 1 and (side[0] != side.min() or side.min() != side.max() or t["i"][0] == t["j"][0]):
+            gid = t["node"].to_numpy()
+            links, edges = meet(t["cell"][0].as_py(), side, gid, t["n"].to_numpy(), matrix(t["v"], exact), lists(t["cells"].chunk(0)), least)
+            some = np.flatnonzero(links)
+            kinds, a, b, n = ["n"] * len(some) + ["e"] * len(edges), [gid[some], edges[:, 0]], [0 * some, edges[:, 1]], [links[some], 0 * edges[:, 0]]
+        join = lambda x: pa.array(np.concatenate(x) if x else [], pa.int64())
+        return pa.table({"kind": pa.array(kinds, pa.string()), "a": join(a), "b": join(b), "n": join(n)})
+
+    found = None
+    for k in range(slices):
+        mine = each.where(F.pmod(F.xxhash64("cell", "i", "j"), F.lit(slices)) == k) if slices > 1 else each
+        part = scratch.cut(mine.groupBy("cell", "i", "j").applyInArrow(met, "kind string, a long, b long, n long"), "found")
+        scratch.collect()
+        found = part if found is None else found.unionByName(part)
     counts = found.where("kind = 'n'").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("links"))
     comp = components(found.where("kind = 'e'").select("a", "b"), scratch).withColumnRenamed("component", "c")
-    told = scratch.cut(classes.select("node", "k1", "k2", "n", "rep").join(counts, "node", "left").join(comp, "node", "left").select("k1", "k2", "rep", F.coalesce("c", "node").alias("c"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links")), "told")
+    told = scratch.cut(routed.select("node", "k1", "k2", "n", "rep").join(counts, "node", "left").join(comp, "node", "left").select("k1", "k2", "rep", F.coalesce("c", "node").alias("c"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links")), "told")
     low = scratch.cut(told.groupBy("c").agg(F.min("rep").alias("component_id")), "low")
     label = scratch.cut(told.join(low, "c").select("k1", "k2", "n_links", "component_id"), "label")
     scratch.keep(v, label)
     out = v.join(label, ["k1", "k2"], "left").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("k1").isNull(), F.col("vec_id")).otherwise(F.col("component_id")).alias("component_id"))
     return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
+def _routed(scratch, classes, dims, every, by_dim, exact, least, schema):
+    """``classes`` with the cells of each, as few as pass both audits."""
+    context = scratch.spark.sparkContext
+
+    def drawn(rate, seed):
+        """Unit vectors of each length, chosen by their hash; in an order of their own."""
+        some = {d: [] for d in dims}
+        for r in classes.where(F.pmod(F.xxhash64(F.lit(seed), "k1"), by_dim(rate)) == 0).select("dim", "k1", "k2", "node", "v").collect():
+            some[r.dim].append((r.k1, r.k2, r.node, bytes(r.v)))
+        some = {d: sorted(r) for d, r in some.items() if r}
+        return {d: (np.array([r[2] for r in rs]), unit(even(np.frombuffer(b"".join(r[3] for r in rs), exact).astype(np.float64).reshape(-1, d))).astype(np.float32)) for d, rs in some.items()}
+
+    probes = drawn({d: max(1, n // PROBES) for d, n in dims.items()}, 1)
+    sample = {d: x for d, (_, x) in drawn(every, 2).items()}
+    for d in dims.keys() - sample.keys():  # the draw may leave out a length of few vectors
+        sample[d] = unit(even(np.frombuffer(classes.where(F.col("dim") == d).orderBy("k1", "k2").first().v, exact).astype(np.float64).reshape(1, d))).astype(np.float32)
+    while True:
+        cells = Cells({d: x[apart(x, least)] for d, x in sample.items()}, least)
+        one = all(len(g.x) == 1 for g in cells.graphs.values())
+        for cells.beam, cells.most in REACH:
+            if not one and min(shared(cells.of(d, x), cells.of(d, bent(x, least + 0.005))).mean() for d, (_, x) in probes.items()) < RECALL:
+                continue
+            sent = context.broadcast(cells)
+
+            def led(batches, sent=sent):
+                for b in batches:
+                    dim = b.column("dim").to_numpy()
+                    out = np.full((len(dim), sent.value.most), -1, np.int32)
+                    for d in np.unique(dim).tolist():
+                        at = np.flatnonzero(dim == d)
+                        got = sent.value.of(d, unit(matrix(b.column("v").take(pa.array(at)), exact)).astype(np.float32))
+                        out[at, : got.shape[1]] = got
+                    there = out >= 0
+                    start = np.concatenate([[0], np.cumsum(there.sum(axis=1))])
+                    yield pa.RecordBatch.from_arrays([*b.columns, pa.ListArray.from_arrays(pa.array(start, pa.int32()), pa.array(out[there]))], names=[*b.schema.names, "cells"])
+
+            routed = scratch.cut(classes.select("node", "k1", "k2", "v", "dim", "n", "rep").mapInArrow(led, schema + ", cells array<int>"), "routed")
+            if one or _audit(context, routed, {d: (*p, cells.of(d, p[1])) for d, p in probes.items()}, exact, least) >= RECALL:
+                return routed
+            scratch.drop(routed)
+        sample = {d: x[::8] for d, x in sample.items()}
+
+
+def _audit(context, routed, probes, exact, least) -> float:
+    """Share of the probes' links, by brute force, that their cells bring: the mean over the probes with links."""
+    sent = context.broadcast(probes)
+
+    def asked(batches):
+        wanted, found = {}, {}
+        for b in batches:
+            dim, node = b.column("dim").to_numpy(), b.column("node").to_numpy()
+            for d in np.unique(dim).tolist():
+                if d not in sent.value:
+                    continue
+                ids, q, own = sent.value[d]
+                at = np.flatnonzero(dim == d)
+                x = unit(matrix(b.column("v").take(pa.array(at)), exact)).astype(np.float32)
+                theirs = lists(b.column("cells").take(pa.array(at)))
+                r, c = np.nonzero((q @ x.T >= least) & (ids[:, None] != node[at]))
+                for k in range(0, len(r), HITS):
+                    p, o = r[k : k + HITS], c[k : k + HITS]
+                    for total, part in ((wanted, p), (found, p[shared(own[p], theirs[o])])):
+                        for i, n in zip(*np.unique(part, return_counts=True)):
+                            total[int(ids[i])] = total.get(int(ids[i]), 0) + int(n)
+        names = list(wanted)
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array([wanted[i] for i in names], pa.int64()), pa.array([found.get(i, 0) for i in names], pa.int64())], names=["probe", "wanted", "found"])
+
+    told = routed.select("node", "dim", "v", "cells").mapInArrow(asked, "probe long, wanted long, found long")
+    mean = told.groupBy("probe").agg((F.sum("found") / F.sum("wanted")).alias("recall")).agg(F.avg("recall")).first()[0]
+    return 1.0 if mean is None else mean

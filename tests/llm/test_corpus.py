@@ -345,6 +345,35 @@ def test_audit_counts_each_probe():
     assert {(a, b) for a, b in edges.tolist() if a >= 1200} >= {(i + 1, i) for i in range(1200, 1800, 2)}
 
 
+def test_embeddings_small_rows(spark, monkeypatch):
+    """No task needs a shard at once: every row of every table is a vector and its
+    cells at most, also with a third of the rows in one group, which is compared
+    by fragments, in several slices."""
+    monkeypatch.setattr(embeddings, "FRAGMENT", 300, raising=False)
+    monkeypatch.setattr(embeddings, "SLICE", 1 << 10, raising=False)
+    widest, cut = [], Scratch.cut
+
+    def seen(self, df, label="t"):
+        out = cut(self, df, label)
+        widest.extend(out.agg(F.max(F.length(c))).first()[0] or 0 for c, kind in out.dtypes if kind == "binary")
+        return out
+
+    monkeypatch.setattr(Scratch, "cut", seen)
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((2400, 32))
+    x[:800] = x[0] + 0.2 * rng.standard_normal((800, 32))
+    x[801:1600:2] = x[800:1600:2] + 0.15 * rng.standard_normal((400, 32))
+    x = rng.permutation(x).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.embedding_components(df, min_shards=24).collect()}
+    u = embeddings.unit(x.astype(np.float64))
+    near = u @ u.T >= 0.9
+    comp = roots(np.argwhere(near).tolist())
+    low = {c: min(i for i in comp if comp[i] == c) for c in set(comp.values())}
+    assert got == {i: (int(near[i].sum()) - 1, low[comp[i]]) for i in range(len(x))}
+    assert max(widest) <= 8 * x.shape[1]
+
+
 def test_embeddings_large_group(monkeypatch):
     """A third of the rows link with one another, far beyond a beam of DENSE."""
     monkeypatch.setattr(embeddings, "STEP", 10_000)
